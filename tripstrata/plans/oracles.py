@@ -210,6 +210,8 @@ judged AS (
 _PARTITION_COUNTS = """SELECT service_type, pickup_year, pickup_month, count(*) AS row_count
 FROM {table} GROUP BY ALL"""
 
+_LATER = "SELECT * REPLACE (CAST(pickup_year + 10 AS INTEGER) AS pickup_year) FROM {table}"
+
 _ZONE_METRICS = _with(_GOLD, "SELECT * FROM zone_metrics")
 _PAYMENT_METRICS = _with(_GOLD, "SELECT * FROM payment_metrics")
 
@@ -470,11 +472,14 @@ ORACLES: dict[str, str] = {
           count(airport_fee) AS with_airport_fee
         FROM trips WHERE service_type = 'yellow' GROUP BY ALL""",
     ),
+    # The streamed files are named ten years later than the trips they hold.
     "stream_ingest_bronze": _with(
         _TRIPS,
-        """SELECT service_type, pickup_year, pickup_month, source_file_name, count(*) AS row_count,
-          sum(total_amount) AS total_amount FROM trips GROUP BY ALL""",
+        """SELECT service_type, CAST(pickup_year + 10 AS INTEGER) AS pickup_year, pickup_month,
+          concat(service_type, '_tripdata_', CAST(pickup_year + 10 AS VARCHAR), '-',
+                 lpad(CAST(pickup_month AS VARCHAR), 2, '0'), '.parquet') AS source_file_name,
+          count(*) AS row_count, sum(total_amount) AS total_amount FROM trips GROUP BY ALL""",
     ),
-    "stream_medallion_equals_batch": _ZONE_METRICS,
-    "stream_idempotent_replay": _PAYMENT_METRICS,
+    "stream_medallion_equals_batch": _with(_GOLD, _LATER.format(table="zone_metrics")),
+    "stream_idempotent_replay": _with(_GOLD, _LATER.format(table="payment_metrics")),
 }

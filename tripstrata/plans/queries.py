@@ -46,6 +46,8 @@ from tripstrata.streaming.arrivals import start_arrivals
 Query = Callable[[SparkSession, str], DataFrame]
 
 RUN_SCOPE = Scope.of(SERVICES, range(1995, 2001), range(1, 13))
+# The tables start in 1995; the stream accepts files from 2000 on.
+STREAM_YEARS_LATER = 10
 SCAN_SCOPE = Scope.of(SERVICES, [1995, 1996, 1997], range(1, 7))
 
 
@@ -365,11 +367,12 @@ def gold_overwrite_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_zone_metrics(spark, layers)
 
 
-def _landed(spark: SparkSession, sf_dir: str, label: str) -> str:
+def _landed(spark: SparkSession, sf_dir: str, label: str, years_later: int = 0) -> str:
     """Monthly files of both services and the zone CSV in a fresh folder."""
     root = work_dir(spark, label)
     for service in SERVICES:
-        star_trips.land_service(spark, sf_dir, service, f"{root}/raw/{service}")
+        trips = star_trips.raw_service_trips(spark, sf_dir, service, years_later)
+        star_trips.land_files(trips, f"{root}/raw/{service}")
     star_trips.land_zones(spark, sf_dir, f"{root}/taxi_zone_lookup.csv")
     return root
 
@@ -405,13 +408,8 @@ def schema_drift_union(spark: SparkSession, sf_dir: str) -> DataFrame:
         trips.withColumn("cbd_congestion_fee", F.lit(0.75)),
     ]
     for position, variant in enumerate(variants):
-        (
-            variant.filter(month % len(variants) == position)
-            .hint("rebalance", "source_file_name")
-            .write.mode("append")
-            .partitionBy("source_file_name")
-            .parquet(f"{root}/raw/yellow")
-        )
+        of_months = variant.filter(month % len(variants) == position)
+        star_trips.land_files(of_months, f"{root}/raw/yellow")
     listed = trip_files.monthly_files(trip_files.list_files(spark, f"{root}/raw"), 1900, 1)
     files = [(row.service_type, row.path) for row in listed.collect()]
     bronze = trip_files.scan_trips(spark, files, 1900, 1)
@@ -429,7 +427,7 @@ def schema_drift_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _streamed(spark: SparkSession, sf_dir: str, label: str) -> Layers:
     """Layers built by the arrival stream from the landed files of both services."""
-    root = _landed(spark, sf_dir, label)
+    root = _landed(spark, sf_dir, label, STREAM_YEARS_LATER)
     layers = Layers(f"{root}/layers")
     start_arrivals(
         spark, f"{root}/raw", f"{root}/taxi_zone_lookup.csv", layers, f"{root}/checkpoint"
@@ -460,7 +458,8 @@ def stream_idempotent_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     star_trips.land_zones(spark, sf_dir, lookup)
     for service in (*reversed(SERVICES), None):
         if service is not None:
-            star_trips.land_service(spark, sf_dir, service, f"{root}/incoming")
+            trips = star_trips.raw_service_trips(spark, sf_dir, service, STREAM_YEARS_LATER)
+            star_trips.land_files(trips, f"{root}/incoming")
         start_arrivals(
             spark, f"{root}/incoming", lookup, layers, f"{root}/checkpoint", archive=f"{root}/archive"
         ).awaitTermination()

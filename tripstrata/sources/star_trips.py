@@ -71,10 +71,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_trips(spark: SparkSession, sf_dir: str, years_later: int = 0) -> DataFrame:
     """Raw trips of both services in one frame, with `service_type` and `source_file_name`.
 
-    The second copies of some trips come from exploding an array, so the join runs once.
+    `years_later` moves the months in the file names (events are accepted from 2000 on). The second copies of some trips come from exploding an array, so the join runs once.
     """
     lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
     copies = F.when(F.col("l_orderkey") % 50 == 0, F.array(F.lit(0), F.lit(1))).otherwise(
@@ -86,9 +86,8 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("service_type", service)
         .withColumn("copy", F.explode(copies))
     )
-    name = F.concat(
-        "service_type", F.lit("_tripdata_"), F.date_format("o_orderdate", "yyyy-MM"), F.lit(".parquet")
-    )
+    period = F.date_format(F.add_months("o_orderdate", 12 * years_later), "yyyy-MM")
+    name = F.concat("service_type", F.lit("_tripdata_"), period, F.lit(".parquet"))
     return trips.select(
         "service_type",
         *[F.expr(text).alias(column) for column, text in _RAW_TRIP.items()],
@@ -96,10 +95,12 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_service_trips(spark: SparkSession, sf_dir: str, service: str) -> DataFrame:
+def raw_service_trips(
+    spark: SparkSession, sf_dir: str, service: str, years_later: int = 0
+) -> DataFrame:
     """One service's raw trips with that service's own columns."""
     columns = [field.source[service] for field in TRIP_FIELDS if service in field.source]
-    trips = raw_trips(spark, sf_dir).filter(F.col("service_type") == service)
+    trips = raw_trips(spark, sf_dir, years_later).filter(F.col("service_type") == service)
     return trips.select(*columns, "source_file_name")
 
 
@@ -148,11 +149,8 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", F.expr(EVENT_PAYLOAD).alias("payload"))
 
 
-def land_service(
-    spark: SparkSession, sf_dir: str, service: str, folder: str, drop: tuple[str, ...] = ()
-) -> None:
-    """Write one service's monthly files under `folder`, each a folder of part files."""
-    trips = raw_service_trips(spark, sf_dir, service).drop(*drop)
+def land_files(trips: DataFrame, folder: str) -> None:
+    """Write raw trips as monthly files under `folder`, each a folder of part files."""
     (
         trips.hint("rebalance", "source_file_name")
         .write.mode("append")

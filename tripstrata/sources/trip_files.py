@@ -11,7 +11,6 @@ from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,12 +24,20 @@ from tripstrata.sources.scope import Scope, services_without_files
 _MONTHLY_FILE = (
     r"^(.*/(?:service_type=)?([^/=]+)/(?:source_file_name=)?([^/=]+\.parquet))(?:/[^/]+\.parquet)?$"
 )
-_NAME_IN_PATH = r"(?:^|/)(?:source_file_name=)?([^/=]+\.parquet)(?:/[^/]+\.parquet)?$"
+# The name of a monthly file in the path of the file or of one of its parts.
+NAME_IN_PATH = r"(?:^|/)(?:source_file_name=)?([^/=]+\.parquet)(?:/[^/]+\.parquet)?$"
 _MONTHLY_FOLDER = re.compile(r"(\.parquet)/[^/]+\.parquet$")
 
 FILE_SCHEMA = "path string"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on whichever file system the path names."""
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    file_system = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return file_system.exists(hadoop_path)
+
+
 def list_files(spark: SparkSession, *roots: str) -> DataFrame:
     """`path` of every parquet file under the roots; a root that does not exist holds none.
 
@@ -39,18 +46,14 @@ def list_files(spark: SparkSession, *roots: str) -> DataFrame:
     """
     paths: list[str] = []
     for root in roots:
-        try:
+        if path_exists(spark, root):
             index = (
                 spark.read.format("binaryFile")
                 .option("recursiveFileLookup", "true")
                 .option("pathGlobFilter", "*.parquet")
                 .load(root)
             )
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            continue
-        paths.extend(index.inputFiles())
+            paths.extend(index.inputFiles())
     return spark.createDataFrame([(path,) for path in paths], FILE_SCHEMA)
 
 
@@ -124,7 +127,7 @@ def scan_trips(
                 .schema(schema)
                 .parquet(*paths)
                 .withColumn(
-                    "source_file_name", F.regexp_extract("_metadata.file_path", _NAME_IN_PATH, 1)
+                    "source_file_name", F.regexp_extract("_metadata.file_path", NAME_IN_PATH, 1)
                 ),
                 F.lit(service),
                 default_year,
@@ -158,16 +161,6 @@ def read_zone_lookup(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(ZONE_LOOKUP_SCHEMA).option("header", True).csv(path)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.format("binaryFile").load(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return True
-
-
 def require_input_files(
     spark: SparkSession, files: DataFrame, scope: Scope, zone_lookup: str
 ) -> None:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tripstrata.functions.trips import INCOMING_NAME_PATTERN
 from tripstrata.schemas import FILE_EVENT_SCHEMA, SERVICES
+from tripstrata.sources.trip_files import NAME_IN_PATH
 
 # The event type and the accepted ranges.
 NEW_FILE = "new_raw_file"
@@ -18,33 +19,38 @@ _INTEGER_TEXT = r"^\s*[+-]?\d+\s*$"
 
 def file_name_of(path: Column) -> Column:
     """The monthly file's name in a path; part files answer with the name of their folder."""
-    folder = F.regexp_extract(path, r"(?:^|/)(?:source_file_name=)?([^/=]+\.parquet)/[^/]+$", 1)
-    return F.when(folder != "", folder).otherwise(F.regexp_extract(path, r"([^/]+)$", 1))
+    return F.regexp_extract(path, NAME_IN_PATH, 1)
 
 
 def classify_files(files: DataFrame) -> DataFrame:
     """An event for each `path` whose file name is accepted; `reject_reason` for the others."""
-    named = files.withColumn("file_name", file_name_of(F.col("path")))
-    accepted = F.col("file_name").rlike(INCOMING_NAME_PATTERN)
+    name = F.col("file_name")
+    accepted = name.rlike(INCOMING_NAME_PATTERN)
 
     def part(group: int, kind: str) -> Column:
-        return F.when(
-            accepted, F.regexp_extract("file_name", INCOMING_NAME_PATTERN, group).cast(kind)
-        )
+        return F.when(accepted, F.regexp_extract(name, INCOMING_NAME_PATTERN, group).cast(kind))
 
-    events = named.select(
-        "path",
-        "file_name",
-        F.when(accepted, NEW_FILE).alias("event_type"),
-        part(1, "string").alias("service_type"),
-        part(2, "int").alias("year"),
-        part(3, "int").alias("month"),
-        F.when(accepted, F.col("path")).alias("file_path"),
+    # The name pattern guarantees type, service and path, so only the period can still be wrong.
+    reason = F.when(F.col("month").isNull(), "file_name_not_accepted").otherwise(_period_reason())
+    return (
+        files.select("path", file_name_of(F.col("path")).alias("file_name"))
+        .select(
+            "path",
+            "file_name",
+            F.when(accepted, NEW_FILE).alias("event_type"),
+            part(1, "string").alias("service_type"),
+            part(2, "int").alias("year"),
+            part(3, "int").alias("month"),
+            F.when(accepted, F.col("path")).alias("file_path"),
+        )
+        .withColumn("reject_reason", reason)
     )
-    reason = F.when(F.col("event_type").isNull(), "file_name_not_accepted").otherwise(
-        _value_reason()
+
+
+def _period_reason() -> Column:
+    return F.when(~F.col("month").between(*MONTHS), "invalid_month").when(
+        ~F.col("year").between(*YEARS), "invalid_year"
     )
-    return events.withColumn("reject_reason", reason)
 
 
 def _value_reason() -> Column:
@@ -52,8 +58,7 @@ def _value_reason() -> Column:
     return (
         F.when(F.col("event_type") != NEW_FILE, "unsupported_event_type")
         .when(~F.col("service_type").isin(*SERVICES), "unsupported_service_type")
-        .when(~F.col("month").between(*MONTHS), "invalid_month")
-        .when(~F.col("year").between(*YEARS), "invalid_year")
+        .when(_period_reason().isNotNull(), _period_reason())
         .when(F.col("file_path") == "", "empty_file_path")
     )
 
