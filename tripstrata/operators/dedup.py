@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tripstrata.functions.trips import HASH_VALUE_COLUMNS
+from tripstrata.functions.trips import HASH_TIME_COLUMNS, HASH_VALUE_COLUMNS
 from tripstrata.schemas import PARTITION_COLUMNS, SILVER_SCHEMA
 
 
@@ -14,14 +14,13 @@ def trip_identity() -> dict[str, Column]:
     """The values the record hash covers, as plain columns.
 
     Two rows with known times share them exactly when their hashes are equal, and they spare the
-    date formatting, the SHA-256 and 64 shuffled bytes per row. The pickup second comes first:
-    it decides nearly every comparison of the sort. `zero_sign` parts -0.0 from 0.0, which are
-    equal as numbers but not as hashed text.
+    date formatting, the SHA-256 and 64 shuffled bytes per row. The pickup second comes first: it
+    decides nearly every comparison of a sort. `zero_sign` parts -0.0 from 0.0, which are equal as
+    numbers but not as hashed text.
     """
     zero = F.col("trip_distance") == 0
     return {
-        "pickup_second": F.unix_timestamp("pickup_datetime"),
-        "dropoff_second": F.unix_timestamp("dropoff_datetime"),
+        **{name: F.date_trunc("second", name) for name in HASH_TIME_COLUMNS},
         **{name: F.col(name) for name in PARTITION_COLUMNS},
         "vendor_id": F.col("vendor_id"),
         **{name: F.col(name) for name in HASH_VALUE_COLUMNS},
@@ -37,11 +36,13 @@ def deduplicate(trips: DataFrame) -> DataFrame:
     """
     identity = trip_identity()
     rest = [
-        F.col(name).asc_nulls_first()
+        name
         for name in SILVER_SCHEMA.names
-        if name not in identity and name != "trip_duration_minutes"
+        if name in HASH_TIME_COLUMNS or name not in (*identity, "trip_duration_minutes")
     ]
-    first = Window.partitionBy(*identity.values()).orderBy(*rest)
+    first = Window.partitionBy(*identity.values()).orderBy(
+        *[F.col(name).asc_nulls_first() for name in rest]
+    )
     return (
         trips.withColumn("copy_rank", F.row_number().over(first))
         .filter("copy_rank = 1")
@@ -52,8 +53,9 @@ def deduplicate(trips: DataFrame) -> DataFrame:
 def distinct_trips(trips: DataFrame) -> DataFrame:
     """De-duplicated trips reduced to the values all copies of a trip share, and their duration.
 
-    The gold tables need nothing else, and for those values any survivor is as good as another:
-    a plain `distinct` (partial aggregation, no sort, half the columns) replaces `deduplicate`.
+    Rules, gold tables and demand need nothing else, and for those values any survivor is as good
+    as another: a plain `distinct` (partial aggregation, no sort, half the columns) replaces
+    `deduplicate`. Its shuffle keeps every column, so several results in one query reuse it.
     """
     identity = [column.alias(name) for name, column in trip_identity().items()]
     return trips.select(*identity, "trip_duration_minutes").distinct()

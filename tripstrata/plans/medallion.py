@@ -134,6 +134,14 @@ def build_silver(spark: SparkSession, layers: Layers, touched: list[Partition])
     return SilverResult(written.row_count, tables.months_of(touched))
 
 
+def write_gold(table: DataFrame, path: str) -> tables.Written:
+    """Replace the months in a gold table. A month has at most zones x services rows, so one task
+    per month is safe, and the default parallelism spreads the months' files over the tasks."""
+    tasks = table.sparkSession.sparkContext.defaultParallelism
+    by_month = table.repartition(tasks, *MONTH_COLUMNS)
+    return tables.overwrite_partitions(by_month, path, MONTH_COLUMNS)
+
+
 def build_gold(spark: SparkSession, layers: Layers, months: list[tuple[int, int]]) -> GoldResult:
     """Rebuild both gold tables for whole months, all services together.
 
@@ -146,12 +154,8 @@ def build_gold(spark: SparkSession, layers: Layers, months: list[tuple[int, int]
     zones = zone_lookup(tables.read_zones(spark, layers))
     rollup = trip_rollup(trips).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        by_zone = tables.overwrite_partitions(
-            monthly_zone_metrics(rollup, zones), layers.zone_metrics, MONTH_COLUMNS
-        )
-        by_payment = tables.overwrite_partitions(
-            payment_type_metrics(rollup), layers.payment_metrics, MONTH_COLUMNS
-        )
+        by_zone = write_gold(monthly_zone_metrics(rollup, zones), layers.zone_metrics)
+        by_payment = write_gold(payment_type_metrics(rollup), layers.payment_metrics)
     finally:
         rollup.unpersist()
     return GoldResult(by_zone.row_count, by_payment.row_count)

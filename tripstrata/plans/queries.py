@@ -20,6 +20,7 @@ from tripstrata.plans.medallion import (
     build_silver,
     silver_from_standard,
     write_bronze,
+    write_gold,
     write_zone_lookup,
 )
 from tripstrata.schemas import (
@@ -59,7 +60,7 @@ def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """De-duplicated trips with the columns gold needs."""
+    """De-duplicated trips with the columns rules and gold need."""
     return dedup.distinct_trips(rules.keep_compliant(star_trips.standard_trips(spark, sf_dir)))
 
 
@@ -231,56 +232,49 @@ def gold_unmatched_zone_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.gold_measures(_zone_metrics(spark, sf_dir)).select("unmatched_zone_rows")
 
 
-def _stored_layers(spark: SparkSession, sf_dir: str, label: str) -> Layers:
-    """Bronze, silver and gold tables built from the derived trips in a fresh folder."""
-    layers = Layers(work_dir(spark, label))
-    bronze = tables.evenly_by_partition(star_trips.bronze_trips(spark, sf_dir), PARTITION_COLUMNS)
-    written = write_bronze(bronze, layers, [])
-    write_zone_lookup(star_trips.raw_zones(spark, sf_dir), layers)
-    silver = build_silver(spark, layers, sorted(written.partitions))
-    build_gold(spark, layers, silver.touched_months)
-    return layers
-
-
 def layer_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    layers = _stored_layers(spark, sf_dir, "row-counts")
+    trips = _trips(spark, sf_dir)
+    rollup = metrics.trip_rollup(trips)
     return quality.layer_row_counts(
         {
-            "bronze_rows": tables.read_bronze(spark, layers),
-            "bronze_zone_rows": tables.read_zones(spark, layers),
-            "silver_rows": tables.read_silver(spark, layers),
-            "gold_monthly_rows": tables.read_zone_metrics(spark, layers),
-            "gold_payment_rows": tables.read_payment_metrics(spark, layers),
+            "bronze_rows": star_trips.bronze_trips(spark, sf_dir),
+            "bronze_zone_rows": star_trips.raw_zones(spark, sf_dir),
+            "silver_rows": trips,
+            "gold_monthly_rows": metrics.monthly_zone_metrics(rollup, _zones(spark, sf_dir)),
+            "gold_payment_rows": metrics.payment_type_metrics(rollup),
         }
     )
 
 
-def _measures(spark: SparkSession, sf_dir: str, label: str) -> tuple[DataFrame, DataFrame]:
-    layers = _stored_layers(spark, sf_dir, label)
-    silver = quality.silver_measures(tables.read_silver(spark, layers))
-    return silver, quality.gold_measures(tables.read_zone_metrics(spark, layers))
+def _measures(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The one-row measures of silver and of gold; both read the same shuffled trips."""
+    trips = _trips(spark, sf_dir)
+    by_zone = metrics.monthly_zone_metrics(metrics.trip_rollup(trips), _zones(spark, sf_dir))
+    return quality.silver_measures(trips), quality.gold_measures(by_zone)
 
 
 def quality_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Without freshness, which depends on the clock; violations as JSON text."""
-    found = quality.quality_metrics(*_measures(spark, sf_dir, "metrics"))
+    found = quality.quality_metrics(*_measures(spark, sf_dir))
     return found.withColumn("violations", F.to_json("violations"))
 
 
 def quality_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.quality_status(quality.quality_metrics(*_measures(spark, sf_dir, "status")))
+    return quality.quality_status(quality.quality_metrics(*_measures(spark, sf_dir)))
 
 
 def quality_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.quality_overall(quality.quality_metrics(*_measures(spark, sf_dir, "overall")))
+    return quality.quality_overall(quality.quality_metrics(*_measures(spark, sf_dir)))
 
 
 def critical_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.critical_checks(*_measures(spark, sf_dir, "checks"))
+    return quality.critical_checks(*_measures(spark, sf_dir))
 
 
 def data_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    layers = _stored_layers(spark, sf_dir, "freshness")
+    """Hours since the gold table, written here, was last modified."""
+    layers = Layers(work_dir(spark, "freshness"))
+    write_gold(_zone_metrics(spark, sf_dir), layers.zone_metrics)
     return quality.data_freshness(tables.read_zone_metrics(spark, layers))
 
 
@@ -312,10 +306,7 @@ def service_by_borough(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hourly_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
-    trips = _trips(spark, sf_dir)
-    return product.hourly_demand(
-        trips.withColumn("pickup_datetime", F.timestamp_seconds("pickup_second"))
-    )
+    return product.hourly_demand(_trips(spark, sf_dir))
 
 
 def contract_check(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -345,6 +336,17 @@ def bronze_overwrite_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _partition_counts(tables.read_bronze(spark, layers))
 
 
+def _stored_layers(spark: SparkSession, sf_dir: str, label: str) -> Layers:
+    """Bronze, silver and gold tables built from the derived trips in a fresh folder."""
+    layers = Layers(work_dir(spark, label))
+    bronze = tables.evenly_by_partition(star_trips.bronze_trips(spark, sf_dir), PARTITION_COLUMNS)
+    written = write_bronze(bronze, layers, [])
+    write_zone_lookup(star_trips.raw_zones(spark, sf_dir), layers)
+    silver = build_silver(spark, layers, sorted(written.partitions))
+    build_gold(spark, layers, silver.touched_months)
+    return layers
+
+
 def _after_bad_january(spark: SparkSession, sf_dir: str, label: str) -> Layers:
     """Built layers, then every January arrives again with only unacceptable amounts."""
     layers = _stored_layers(spark, sf_dir, label)
