@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tripstrata.functions.values import saturated
-
 # The period in a file name, and the names accepted in the incoming folder.
 PERIOD_PATTERN = r"\d{4}-\d{2}"
 INCOMING_NAME_PATTERN = r"^(yellow|green)_tripdata_(\d{4})-(\d{2})\.parquet$"
@@ -29,16 +27,15 @@ HASH_VALUE_COLUMNS = (
 def file_period(file_name: Column, default_year: int, default_month: int) -> tuple[Column, Column]:
     """(year, month) of the first `YYYY-MM` in the name, or the defaults if there is none."""
     period = F.regexp_extract(file_name, PERIOD_PATTERN, 0)
-    found = period != ""
-    year = F.when(found, F.substring(period, 1, 4).cast("int")).otherwise(F.lit(default_year))
-    month = F.when(found, F.substring(period, 6, 2).cast("int")).otherwise(F.lit(default_month))
-    return year.cast("int"), month.cast("int")
+    year = F.substring(period, 1, 4).try_cast("int")
+    month = F.substring(period, 6, 2).try_cast("int")
+    return F.coalesce(year, F.lit(default_year)), F.coalesce(month, F.lit(default_month))
 
 
 def trip_duration_minutes() -> Column:
-    """Whole minutes from pickup to dropoff, truncated towards zero, within the int range."""
+    """Whole minutes from pickup to dropoff, truncated towards zero."""
     minutes = F.expr("(unix_timestamp(dropoff_datetime) - unix_timestamp(pickup_datetime)) div 60")
-    return saturated(minutes, "int")
+    return minutes.try_cast("int")
 
 
 def record_hash() -> Column:

@@ -1,7 +1,7 @@
 """Conversions of raw values to typed columns.
 
-A value that cannot be converted becomes NULL whatever the session's ANSI setting. Floating
-values keep the classic integer cast: they truncate, saturate at the type's limits, and NaN is 0.
+A value that cannot be converted becomes NULL whatever the session's ANSI setting. NaN becomes 0
+and fractions are cut off where an integer is wanted, as in the classic integer cast.
 """
 
 from __future__ import annotations
@@ -10,23 +10,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_LIMITS = {"int": (-(2**31), 2**31 - 1), "bigint": (-(2**63), 2**63 - 1)}
+_INTEGERS = ("int", "bigint")
 _DECIMAL_TEXT = r"^\s*[+-]?\d+(\.\d*)?\s*$"
 
 
-def saturated(number: Column, target: str) -> Column:
-    """A number truncated to an integer type; beyond the type's range it is the nearest limit."""
-    low, high = _LIMITS[target]
-    return (
-        F.when(number >= high, F.lit(high).cast(target))
-        .when(number <= low, F.lit(low).cast(target))
-        .otherwise(number.cast(target))
-    )
-
-
 def _whole_number(column: Column, data_type: T.DataType, target: str) -> Column:
     if isinstance(data_type, (T.FloatType, T.DoubleType)):
-        return F.when(F.isnan(column), F.lit(0).cast(target)).otherwise(saturated(column, target))
+        return F.nanvl(column, F.lit(0.0)).try_cast(target)
     if isinstance(data_type, T.StringType):
         whole_part = F.substring_index(F.trim(column), ".", 1)
         return F.when(column.rlike(_DECIMAL_TEXT), whole_part.try_cast(target))
@@ -35,12 +25,12 @@ def _whole_number(column: Column, data_type: T.DataType, target: str) -> Column:
 
 def typed_value(column: Column, data_type: T.DataType, target: str) -> Column:
     """`column`, whose type is `data_type`, as `target` (a type name used in `schemas`)."""
-    if target in _LIMITS:
+    if data_type.simpleString() == target:
+        return column
+    if target in _INTEGERS:
         return _whole_number(column, data_type, target)
     if target == "timestamp" and isinstance(data_type, T.StringType):
         return F.try_to_timestamp(column)
     if target == "timestamp" and isinstance(data_type, (T.TimestampNTZType, T.DateType)):
         return column.cast(target)
-    if data_type.simpleString() == target:
-        return column
     return column.try_cast(target)

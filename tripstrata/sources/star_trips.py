@@ -13,18 +13,19 @@ from tripstrata.operators.standardize import standardize
 from tripstrata.schemas import SERVICES, TRIP_FIELDS
 from tripstrata.sources.trip_files import enrich
 
-_PICKUP = "CASE WHEN l_partkey % 97 <> 0 THEN timestampadd(MINUTE, l_partkey % 2880, o_orderdate) END"
+# Fixed inputs: the times of a trip, then its raw columns.
+_PICKUP = "CASE WHEN l_partkey % 97 <> 0 THEN timestampadd(MINUTE, l_partkey % 2880, ordered_at) END"
 _DROPOFF = (
     "CASE WHEN l_partkey % 89 <> 0 THEN timestampadd(MINUTE, l_partkey % 2880"
-    " + datediff(l_shipdate, o_orderdate), o_orderdate) END"
+    " + datediff(l_shipdate, o_orderdate), ordered_at) END"
 )
 
 _RAW_TRIP = {
     "VendorID": "nullif(l_suppkey % 3, 0)",
-    "tpep_pickup_datetime": f"CASE WHEN service_type = 'yellow' THEN {_PICKUP} END",
-    "tpep_dropoff_datetime": f"CASE WHEN service_type = 'yellow' THEN {_DROPOFF} END",
-    "lpep_pickup_datetime": f"CASE WHEN service_type = 'green' THEN {_PICKUP} END",
-    "lpep_dropoff_datetime": f"CASE WHEN service_type = 'green' THEN {_DROPOFF} END",
+    "tpep_pickup_datetime": "CASE WHEN service_type = 'yellow' THEN pickup END",
+    "tpep_dropoff_datetime": "CASE WHEN service_type = 'yellow' THEN dropoff END",
+    "lpep_pickup_datetime": "CASE WHEN service_type = 'green' THEN pickup END",
+    "lpep_dropoff_datetime": "CASE WHEN service_type = 'green' THEN dropoff END",
     "passenger_count": "CAST(nullif(l_linenumber, 7) AS DOUBLE)",
     "trip_distance": "CASE WHEN l_partkey % 83 <> 0 THEN l_quantity * 8 - 20 END",
     "RatecodeID": "CAST(l_linenumber AS DOUBLE)",
@@ -77,17 +78,30 @@ def raw_trips(spark: SparkSession, sf_dir: str, years_later: int = 0) -> DataFra
     `years_later` moves the months in the file names (events are accepted from 2000 on). The second copies of some trips come from exploding an array, so the join runs once.
     """
     lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
-    copies = F.when(F.col("l_orderkey") % 50 == 0, F.array(F.lit(0), F.lit(1))).otherwise(
-        F.array(F.lit(0))
-    )
-    service = F.when(F.col("l_returnflag") == "R", "green").otherwise("yellow")
+    period = F.add_months("o_orderdate", 12 * years_later).cast("string")
+    ordered_at = F.col("o_orderdate").cast("timestamp")
+    # The times are part of the exploded struct: computed once per trip, not once per rule.
+    one, two = [
+        F.struct(
+            F.lit(copy).alias("copy"),
+            F.expr(_PICKUP).alias("pickup"),
+            F.expr(_DROPOFF).alias("dropoff"),
+        )
+        for copy in (0, 1)
+    ]
+    copies = F.when(F.col("l_orderkey") % 50 == 0, F.array(one, two)).otherwise(F.array(one))
     trips = (
         lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"])
-        .withColumn("service_type", service)
-        .withColumn("copy", F.explode(copies))
+        .withColumns(
+            {
+                "service_type": F.when(F.col("l_returnflag") == "R", "green").otherwise("yellow"),
+                "ordered_at": ordered_at,
+                "period": F.substring(period, 1, 7),
+            }
+        )
+        .select("*", F.inline(copies))
     )
-    period = F.date_format(F.add_months("o_orderdate", 12 * years_later), "yyyy-MM")
-    name = F.concat("service_type", F.lit("_tripdata_"), period, F.lit(".parquet"))
+    name = F.concat("service_type", F.lit("_tripdata_"), "period", F.lit(".parquet"))
     return trips.select(
         "service_type",
         *[F.expr(text).alias(column) for column, text in _RAW_TRIP.items()],

@@ -82,6 +82,14 @@ def enrich(trips: DataFrame, service: Column, default_year: int, default_month:
     )
 
 
+def _monthly_file_name() -> Column:
+    """Name of the monthly file a scanned row comes from; runs per row, so without a pattern."""
+    folder = F.substring_index(F.substring_index("_metadata.file_path", "/", -2), "/", 1)
+    return F.when(F.endswith(folder, F.lit(".parquet")), F.substring_index(folder, "=", -1)).otherwise(
+        F.col("_metadata.file_name")
+    )
+
+
 def _file_schemas(spark: SparkSession, paths: list[str]) -> list[T.StructType]:
     """Schema of each monthly file, from one footer each; a few footers are read at a time."""
 
@@ -126,9 +134,7 @@ def scan_trips(
                 spark.read.option("recursiveFileLookup", "true")
                 .schema(schema)
                 .parquet(*paths)
-                .withColumn(
-                    "source_file_name", F.regexp_extract("_metadata.file_path", NAME_IN_PATH, 1)
-                ),
+                .withColumn("source_file_name", _monthly_file_name()),
                 F.lit(service),
                 default_year,
                 default_month,
