@@ -200,6 +200,12 @@ def test_metric_edges(spark):
     assert some["silver_rule_compliance"] == (100.0, True)  # rounding hides one row of three million
 
 
+def test_missing_metrics(spark):
+    published = spark.createDataFrame([("gold_row_count",), ("silver_rule_compliance",)], "metric_name string")
+    missing = {r.metric_name for r in quality.missing_metrics(published).collect()}
+    assert missing == {"zone_mapping_completeness", "data_freshness_hours"}
+
+
 def test_status_texts(spark):
     found = quality.quality_status(
         spark.createDataFrame(

@@ -164,6 +164,12 @@ def _describe(values: DataFrame) -> DataFrame:
     )
 
 
+def missing_metrics(metrics: DataFrame) -> DataFrame:
+    """`metric_name` of every promised metric the given metrics lack."""
+    promised = metrics.sparkSession.createDataFrame([(name,) for name in METRICS], "metric_name string")
+    return promised.join(metrics, "metric_name", "left_anti")
+
+
 def quality_status(metrics: DataFrame) -> DataFrame:
     """Report lines: title, PASS or FAIL, and the value with its unit."""
     whole = F.col("unit") == "rows"

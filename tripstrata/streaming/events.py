@@ -55,14 +55,18 @@ def _period_reason() -> Column:
 
 def _value_reason() -> Column:
     """The first rule an event's values break, NULL when it is valid."""
-    return (
-        F.when(F.col("event_type") != NEW_FILE, "unsupported_event_type")
-        .when(~F.col("service_type").isin(*SERVICES), "unsupported_service_type")
-        .when(_period_reason().isNotNull(), _period_reason())
-        .when(F.col("file_path") == "", "empty_file_path")
+    return F.coalesce(
+        F.when(F.col("event_type") != NEW_FILE, "unsupported_event_type"),
+        F.when(~F.col("service_type").isin(*SERVICES), "unsupported_service_type"),
+        _period_reason(),
+        F.when(F.col("file_path") == "", "empty_file_path"),
     )
 
 
+def _integer(text: Column) -> Column:
+    return F.when(text.rlike(_INTEGER_TEXT), F.trim(text).try_cast("int"))
+
+
 def parse_events(messages: DataFrame, payload: str = "payload") -> DataFrame:
     """Decode and validate JSON events: the message's columns, the event's, and `reject_reason`.
 
@@ -70,36 +74,22 @@ def parse_events(messages: DataFrame, payload: str = "payload") -> DataFrame:
     or carries a bad value is kept with the first reason it fails, in the order of decoding.
     """
     fields = FILE_EVENT_SCHEMA.names
-    decoded = messages.withColumn("_json", F.try_parse_json(payload))
-    text = {
-        name: F.try_variant_get("_json", f"$.{name}", "string").alias(f"_{name}") for name in fields
-    }
-    raw = decoded.select("*", *text.values())
-
-    def integer(name: str) -> Column:
-        digits = F.col(f"_{name}")
-        return F.when(digits.rlike(_INTEGER_TEXT), F.trim(digits).try_cast("int"))
-
-    events = raw.select(
-        *messages.columns,
-        "_json",
-        *[F.col(f"_{name}") for name in fields],
-        F.col("_event_type").alias("event_type"),
-        F.col("_service_type").alias("service_type"),
-        integer("year").alias("year"),
-        integer("month").alias("month"),
-        F.col("_file_path").alias("file_path"),
+    numbers = ("year", "month")
+    # Each message is parsed once; every field is read from the parsed value as text.
+    raw = messages.withColumn("_json", F.try_parse_json(payload)).withColumns(
+        {f"_{name}": F.try_variant_get("_json", f"$.{name}", "string") for name in fields}
+    )
+    typed = raw.withColumns(
+        {name: _integer(F.col(f"_{name}")) if name in numbers else F.col(f"_{name}") for name in fields}
     )
     is_object = F.schema_of_variant("_json").startswith("OBJECT<")
     reason = F.when(F.col("_json").isNull(), "not_json").when(~is_object, "not_an_object")
     for name in fields:
         reason = reason.when(F.col(f"_{name}").isNull(), f"missing_{name}")
-    for name in ("year", "month"):
-        reason = reason.when(F.col(name).isNull(), f"{name}_not_an_integer")
-    return events.select(
-        *messages.columns,
-        *fields,
-        reason.otherwise(_value_reason()).alias("reject_reason"),
+        if name in numbers:
+            reason = reason.when(F.col(name).isNull(), f"{name}_not_an_integer")
+    return typed.select(
+        *messages.columns, *fields, reason.otherwise(_value_reason()).alias("reject_reason")
     )
 
 
