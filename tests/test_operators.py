@@ -107,7 +107,8 @@ def test_identity_equals_hash(spark):
 
 
 def test_hot_trip_is_cut_before_the_shuffle(spark):
-    trips = silver_rows(spark, {}).crossJoin(spark.range(0, 20_000, 1, 8)).drop("id")
+    copies = F.explode(F.sequence(F.lit(1), F.lit(20_000)))
+    trips = silver_rows(spark, {}).withColumn("copy", copies).repartition(8).drop("copy")
     kept = dedup.deduplicate(trips)
     plan = kept._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2  # before and after the exchange

@@ -401,22 +401,23 @@ def run_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def schema_drift_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly files whose schemas differ: types, letter case, missing and extra columns."""
     root = work_dir(spark, "drift")
-    trips = star_trips.raw_service_trips(spark, sf_dir, "yellow")
     month = F.substring_index(F.substring_index("source_file_name", ".", 1), "-", -1).cast("int")
-    variants = [
-        trips.withColumn("passenger_count", F.col("passenger_count").cast("bigint")),
-        trips.withColumnRenamed("Airport_fee", "airport_fee"),
-        trips.drop("congestion_surcharge"),
-        trips.withColumn("cbd_congestion_fee", F.lit(0.75)),
-    ]
-    for position, variant in enumerate(variants):
-        of_months = variant.filter(month % len(variants) == position)
-        star_trips.land_files(of_months, f"{root}/raw/yellow")
+    for service in SERVICES:
+        trips = star_trips.raw_service_trips(spark, sf_dir, service)
+        variants = [
+            trips.withColumn("passenger_count", F.col("passenger_count").cast("bigint")),
+            trips.withColumnRenamed("Airport_fee", "airport_fee"),
+            trips.drop("congestion_surcharge"),
+            trips.withColumn("cbd_congestion_fee", F.lit(0.75)),
+        ]
+        for position, variant in enumerate(variants):
+            of_months = variant.filter(month % len(variants) == position)
+            star_trips.land_files(of_months, f"{root}/raw/{service}")
     listed = trip_files.monthly_files(trip_files.list_files(spark, f"{root}/raw"), 1900, 1)
     files = [(row.service_type, row.path) for row in listed.collect()]
     bronze = trip_files.scan_trips(spark, files, 1900, 1)
     return (
-        standardize(bronze, ["yellow"])
+        standardize(bronze, SERVICES)
         .groupBy(*PARTITION_COLUMNS)
         .agg(
             F.count(F.lit(1)).alias("row_count"),

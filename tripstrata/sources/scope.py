@@ -31,11 +31,9 @@ class Scope:
         return Scope(self.services, self.years[:1], (1,))
 
     def grid(self, spark: SparkSession) -> DataFrame:
+        lists = {name: list(getattr(self, name)) for name in ("services", "years", "months")}
         return scope_grid(
-            spark.createDataFrame(
-                [(list(self.services), list(self.years), list(self.months))],
-                "services array<string>, years array<int>, months array<int>",
-            )
+            spark.range(1).select(*[F.lit(values).alias(name) for name, values in lists.items()])
         )
 
 
