@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+from collections import Counter
 from datetime import timedelta
 
 import pytest
@@ -47,6 +48,8 @@ def test_rule_edges(spark):
     trips = silver_rows(spark, *changes)
     found = {r.vendor_id: r.failed for r in trips.select("vendor_id", rules.failed_rules().alias("failed")).collect()}
     assert found == {i: failed for i, (_, failed) in enumerate(EDGES)}
+    summary = {r.failed_rules: r.row_count for r in rules.reject_summary(trips).collect()}
+    assert summary == Counter(",".join(failed) for _, failed in EDGES)
     kept = {r.vendor_id for r in rules.keep_compliant(trips).collect()}
     assert kept == {i for i, (_, failed) in enumerate(EDGES) if not failed}
     compliant = {r.vendor_id for r in trips.filter(rules.is_compliant()).collect()}

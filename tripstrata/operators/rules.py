@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,15 +48,37 @@ def is_compliant() -> Column:
     return F.coalesce(F.expr(_ALL_RULES), F.lit(False))
 
 
+def _fails(rule: str) -> Column:
+    return ~F.coalesce(F.expr(rule), F.lit(False))
+
+
 def failed_rules() -> Column:
     """Names of the rules a row fails, in rule order; an empty array for a compliant row."""
-    flags = [
-        F.when(~F.coalesce(F.expr(rule), F.lit(False)), F.lit(name))
-        for name, rule in KEEP_RULES.items()
-    ]
+    flags = [F.when(_fails(rule), F.lit(name)) for name, rule in KEEP_RULES.items()]
     return F.array_compact(F.array(*flags))
 
 
+def reject_summary(trips: DataFrame) -> DataFrame:
+    """Rows per service and combination of failed rules, named with commas between.
+
+    Rows are grouped by one bit per rule; the names are spelled out on the few groups.
+    """
+    bits = [
+        F.when(_fails(rule), F.lit(1 << bit)).otherwise(0)
+        for bit, rule in enumerate(KEEP_RULES.values())
+    ]
+    failed = reduce(lambda a, b: a.bitwiseOR(b), bits)
+    names = [
+        F.when(F.col("failed").bitwiseAND(1 << bit) != 0, name)
+        for bit, name in enumerate(KEEP_RULES)
+    ]
+    return (
+        trips.groupBy("service_type", failed.alias("failed"))
+        .agg(F.count(F.lit(1)).alias("row_count"))
+        .select("service_type", F.concat_ws(",", *names).alias("failed_rules"), "row_count")
+    )
+
+
 def violation_counts() -> list[Column]:
     """One count per violation, for a single-pass aggregate."""
     return [F.count_if(F.expr(test)).alias(name) for name, test in VIOLATIONS.items()]

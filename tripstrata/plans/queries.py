@@ -120,12 +120,7 @@ def silver_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reject_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    failed = F.concat_ws(",", rules.failed_rules()).alias("failed_rules")
-    return (
-        star_trips.standard_trips(spark, sf_dir)
-        .groupBy("service_type", failed)
-        .agg(F.count(F.lit(1)).alias("row_count"))
-    )
+    return rules.reject_summary(star_trips.standard_trips(spark, sf_dir))
 
 
 # Gold -----------------------------------------------------------------------------------------
