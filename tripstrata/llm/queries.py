@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tripstrata.llm.op5_bpe import encode_decode
+from tripstrata.llm.op7_quality_rules import good_documents, quality
 from tripstrata.llm.op9_token_counts import count_tokens
 
 
@@ -20,6 +21,11 @@ def op5_bpe_encode_decode(spark: SparkSession, folder: str) -> DataFrame:
     return encode_decode(_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts and verdict of every document."""
+    return quality(_table(spark, folder, "documents"))
+
+
 def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Token count of every document."""
     return count_tokens(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -27,12 +33,18 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_bpe_encode_decode": op5_bpe_encode_decode,
+    "op7_quality_rules": op7_quality_rules,
     "op9_token_counts": op9_token_counts,
 }
 
 ORACLES: dict[str, str] = {}
 
 
+def quality_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """The documents that the rules keep."""
+    return good_documents(docs)
+
+
 def bpe_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Ids and decoded text of every document that is left."""
     return encode_decode(docs, public_tokenizers.path("word_bpe_49k.json"), digests=False)
