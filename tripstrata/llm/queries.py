@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tripstrata.llm.op5_bpe import encode_decode
 from tripstrata.llm.op7_quality_rules import good_documents, quality
+from tripstrata.llm.op8_mixing import mixed_documents, take_mix
 from tripstrata.llm.op9_token_counts import count_tokens
 
 
@@ -26,6 +28,12 @@ def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality(_table(spark, folder, "documents"))
 
 
+def op8_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    docs = _table(spark, folder, "documents")
+    return mixed_documents(docs, F.array(docs["source"])).drop("copies", "taken_for")
+
+
 def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Token count of every document."""
     return count_tokens(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -34,6 +42,7 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_bpe_encode_decode": op5_bpe_encode_decode,
     "op7_quality_rules": op7_quality_rules,
+    "op8_mix_sources": op8_mix_sources,
     "op9_token_counts": op9_token_counts,
 }
 
@@ -45,6 +54,11 @@ def quality_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFram
     return good_documents(docs)
 
 
+def mix_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """The documents as often as the mix of their sources takes them."""
+    return take_mix(docs, F.array(docs["source"]))
+
+
 def bpe_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Ids and decoded text of every document that is left."""
     return encode_decode(docs, public_tokenizers.path("word_bpe_49k.json"), digests=False)
