@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripstrata.llm.op10_embedding_dups import near_duplicates
 from tripstrata.llm.op5_bpe import encode_decode
 from tripstrata.llm.op7_quality_rules import good_documents, quality
 from tripstrata.llm.op8_mixing import mixed_documents, take_mix
@@ -39,11 +40,17 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return count_tokens(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op10_embedding_near_dups(spark: SparkSession, folder: str) -> DataFrame:
+    """Links and component of every embedding."""
+    return near_duplicates(_table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_bpe_encode_decode": op5_bpe_encode_decode,
     "op7_quality_rules": op7_quality_rules,
     "op8_mix_sources": op8_mix_sources,
     "op9_token_counts": op9_token_counts,
+    "op10_embedding_near_dups": op10_embedding_near_dups,
 }
 
 ORACLES: dict[str, str] = {}
