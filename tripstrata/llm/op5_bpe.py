@@ -157,7 +157,7 @@ _DIGEST = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha
 _IDS = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
 
 
-def encode_decode(docs: DataFrame, tokenizer: str, digests: bool = True, spread: int = 200_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode_decode(docs: DataFrame, tokenizer: str, digests: bool = True, spread: int = 50_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encodes every row's whole text under the vocabulary file `tokenizer` and decodes the ids again.
 
     One row per input row. `digests`: doc_id, n_tokens, ids_sha256 (decimal ids joined by a space), decoded_sha256.

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripstrata.llm.op10_embedding_dups import near_duplicates
+from tripstrata.llm.op4_bottomk_dups import Near, first_of_each_group
+from tripstrata.llm.op4_bottomk_dups import near_duplicates as near_duplicate_texts
 from tripstrata.llm.op5_bpe import encode_decode
 from tripstrata.llm.op7_quality_rules import good_documents, quality
 from tripstrata.llm.op8_mixing import mixed_documents, take_mix
@@ -19,6 +21,11 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op4_minhash_near_dups(spark: SparkSession, folder: str) -> DataFrame:
+    """Group of every document under links of its four-word shingles."""
+    return near_duplicate_texts(_table(spark, folder, "documents"), Near(words=4))
+
+
 def op5_bpe_encode_decode(spark: SparkSession, folder: str) -> DataFrame:
     """Every document encoded, decoded, and both results as digests."""
     return encode_decode(_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
@@ -46,6 +53,7 @@ def op10_embedding_near_dups(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_minhash_near_dups": op4_minhash_near_dups,
     "op5_bpe_encode_decode": op5_bpe_encode_decode,
     "op7_quality_rules": op7_quality_rules,
     "op8_mix_sources": op8_mix_sources,
@@ -61,6 +69,11 @@ def quality_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFram
     return good_documents(docs)
 
 
+def near_dup_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return first_of_each_group(docs)
+
+
 def mix_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """The documents as often as the mix of their sources takes them."""
     return take_mix(docs, F.array(docs["source"]))
