@@ -7,12 +7,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripstrata.llm.queries import bpe_stage
+from tripstrata.llm.queries import bpe_stage, line_stage, mix_stage, near_dup_stage, quality_stage
 from tripstrata.llm.shared import shared_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 STAGES: list[tuple[str, Stage]] = [
+    ("quality_rules", quality_stage),
+    ("line_dedup", line_stage),
+    ("minhash_near_dups", near_dup_stage),
+    ("mixing", mix_stage),
     ("bpe", bpe_stage),
 ]
 

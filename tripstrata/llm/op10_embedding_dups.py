@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from tripstrata.llm.shared import components, stored
 
 #: Vectors of one length in a tile; a task holds two tiles and some products of theirs.
-TILE = 8192
+TILE = 4096
 _ROWS = 256
 _STEPS = (8, 16, 32)
 #: Principal axes are kept for so many different lengths of vectors at most.

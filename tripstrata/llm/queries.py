@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripstrata.llm.op1_line_dedup import line_counts, without_repeated_lines
 from tripstrata.llm.op10_embedding_dups import near_duplicates
 from tripstrata.llm.op4_bottomk_dups import Near, first_of_each_group
 from tripstrata.llm.op4_bottomk_dups import near_duplicates as near_duplicate_texts
@@ -21,6 +22,11 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of every document, and how many of them repeat an earlier line exactly or nearly."""
+    return line_counts(_table(spark, folder, "documents"))
+
+
 def op4_minhash_near_dups(spark: SparkSession, folder: str) -> DataFrame:
     """Group of every document under links of its four-word shingles."""
     return near_duplicate_texts(_table(spark, folder, "documents"), Near(words=4))
@@ -53,6 +59,7 @@ def op10_embedding_near_dups(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
     "op4_minhash_near_dups": op4_minhash_near_dups,
     "op5_bpe_encode_decode": op5_bpe_encode_decode,
     "op7_quality_rules": op7_quality_rules,
@@ -69,6 +76,11 @@ def quality_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFram
     return good_documents(docs)
 
 
+def line_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """The documents without lines that repeat earlier ones, n_chars as the text then has."""
+    return without_repeated_lines(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
 def near_dup_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """One document of each group of near duplicates."""
     return first_of_each_group(docs)
