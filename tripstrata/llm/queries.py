@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tripstrata.llm.op1_line_dedup import line_counts, without_repeated_lines
 from tripstrata.llm.op10_embedding_dups import near_duplicates
+from tripstrata.llm.op3_suffix_dedup import dedup_counts
 from tripstrata.llm.op4_bottomk_dups import Near, first_of_each_group
 from tripstrata.llm.op4_bottomk_dups import near_duplicates as near_duplicate_texts
 from tripstrata.llm.op5_bpe import encode_decode
@@ -27,6 +28,11 @@ def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_counts(_table(spark, folder, "documents"))
 
 
+def op3_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of every document without byte strings that occur again."""
+    return dedup_counts(_table(spark, folder, "documents"))
+
+
 def op4_minhash_near_dups(spark: SparkSession, folder: str) -> DataFrame:
     """Group of every document under links of its four-word shingles."""
     return near_duplicate_texts(_table(spark, folder, "documents"), Near(words=4))
@@ -60,6 +66,7 @@ def op10_embedding_near_dups(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
+    "op3_suffix_array_dedup": op3_suffix_array_dedup,
     "op4_minhash_near_dups": op4_minhash_near_dups,
     "op5_bpe_encode_decode": op5_bpe_encode_decode,
     "op7_quality_rules": op7_quality_rules,
