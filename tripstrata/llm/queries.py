@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 from tripstrata.llm.op1_line_dedup import line_counts, without_repeated_lines
 from tripstrata.llm.op10_embedding_dups import near_duplicates
+from tripstrata.llm.op2_license_scan import scan_licenses
 from tripstrata.llm.op3_suffix_dedup import dedup_counts
 from tripstrata.llm.op4_bottomk_dups import Near, first_of_each_group
 from tripstrata.llm.op4_bottomk_dups import near_duplicates as near_duplicate_texts
 from tripstrata.llm.op5_bpe import encode_decode
+from tripstrata.llm.op6_pseudonyms import pseudonymized
 from tripstrata.llm.op7_quality_rules import good_documents, quality
 from tripstrata.llm.op8_mixing import mixed_documents, take_mix
 from tripstrata.llm.op9_token_counts import count_tokens
@@ -28,6 +30,11 @@ def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_counts(_table(spark, folder, "documents"))
 
 
+def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Licence families that the paragraphs of every document state."""
+    return scan_licenses(_table(spark, folder, "documents")).drop("paragraphs")
+
+
 def op3_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """What is left of every document without byte strings that occur again."""
     return dedup_counts(_table(spark, folder, "documents"))
@@ -43,6 +50,11 @@ def op5_bpe_encode_decode(spark: SparkSession, folder: str) -> DataFrame:
     return encode_decode(_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op6_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with pseudonyms for private data. A deployment passes its own key."""
+    return pseudonymized(_table(spark, folder, "documents"), key="registered query")
+
+
 def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Counts and verdict of every document."""
     return quality(_table(spark, folder, "documents"))
@@ -66,9 +78,11 @@ def op10_embedding_near_dups(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_license_scan": op2_license_scan,
     "op3_suffix_array_dedup": op3_suffix_array_dedup,
     "op4_minhash_near_dups": op4_minhash_near_dups,
     "op5_bpe_encode_decode": op5_bpe_encode_decode,
+    "op6_pseudonyms": op6_pseudonyms,
     "op7_quality_rules": op7_quality_rules,
     "op8_mix_sources": op8_mix_sources,
     "op9_token_counts": op9_token_counts,
