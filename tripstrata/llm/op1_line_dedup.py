@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripstrata.llm.shared import components, mixed, stored
+from tripstrata.llm.shared import components, mixed, slices, stored
 
 #: Fixed value: a line counts if it has a word.
 A_WORD = r"[^\x20\x09-\x0D]"
@@ -148,9 +148,10 @@ def _keyed(edits: Edits):
                 seen = set()  # only spares work: equal lines give equal keys
             new = {i: x for i, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if i not in seen}
             seen.update(new)
-            ids = np.fromiter(new, np.int64, len(new))
-            keys, owners = segment_keys(list(new.values()), edits)
-            yield pa.record_batch([pa.array(keys.view(np.int64)), pa.array(ids[owners])], names=["key", "id"])
+            ids, texts = np.fromiter(new, np.int64, len(new)), list(new.values())
+            for a, b in slices(texts, 500_000):
+                keys, owners = segment_keys(texts[a:b], edits)
+                yield pa.record_batch([pa.array(keys.view(np.int64)), pa.array(ids[a:b][owners])], names=["key", "id"])
 
     return run
 
@@ -159,27 +160,43 @@ def _checked(edits: Edits):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x, y = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            if not x:
+                continue
             most = edits.allowed(np.array([min(len(p), len(q)) for p, q in zip(x, y, strict=True)], np.int64))
             yield pa.record_batch(batch.columns[:2], names=["a", "b"]).filter(pa.array(within(x, y, most)))
 
     return run
 
 
+def _letters(lines: list[str]) -> np.ndarray:
+    """How often characters of each residue modulo 64 occur: an edit changes at most two of the counts by one."""
+    text = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32)
+    owner = np.repeat(np.arange(len(lines)), [len(x) for x in lines])
+    return np.bincount(owner * 64 + text % 64, minlength=len(lines) * 64).reshape(-1, 64).astype(np.int32)
+
+
 def _block_links(edits: Edits):
-    """Links of one block pair's lines: a spanning few, found against one line after another."""
+    """Links of one block pair's lines. Pairs whose letter counts differ too much aren't compared; the rest all are."""
 
     def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         _, first, second = key
         left, right = frame[frame["block"] == first], frame[frame["block"] == second]
-        ids, lines = right["id"].to_numpy(), right["line"].to_list()
-        lengths = np.fromiter(map(len, lines), np.int64, len(lines))
-        got: list[tuple[int, int]] = []
-        for i, line in zip(left["id"], left["line"], strict=True):
-            near = np.flatnonzero((np.abs(lengths - len(line)) <= edits.max_edits) & ((ids > i) if first == second else True))
-            most = edits.allowed(np.minimum(lengths[near], len(line)))
-            on = near[within([line] * len(near), [lines[k] for k in near], most)]
-            got += [(min(i, int(ids[k])), max(i, int(ids[k]))) for k in on]
-        return pd.DataFrame(got, columns=["a", "b"], dtype="int64")
+        lines, others = left["line"].to_list(), right["line"].to_list()
+        n, m = np.array([len(x) for x in lines]), np.array([len(x) for x in others])
+        counts, other_counts = _letters(lines), _letters(others)
+        ids, other_ids = left["id"].to_numpy(), right["id"].to_numpy()
+        got = []
+        for a in range(0, len(lines), 50):
+            part = slice(a, a + 50)
+            apart = np.abs(counts[part, None] - other_counts[None]).sum(axis=2)
+            can = (apart <= 2 * edits.max_edits) & (np.abs(n[part, None] - m) <= edits.max_edits)
+            if first == second:
+                can &= ids[part, None] < other_ids
+            i, j = np.nonzero(can)
+            i += a
+            on = within([lines[k] for k in i], [others[k] for k in j], edits.allowed(np.minimum(n[i], m[j])))
+            got.append(np.stack((np.minimum(ids[i[on]], other_ids[j[on]]), np.maximum(ids[i[on]], other_ids[j[on]])), axis=1))
+        return pd.DataFrame(np.concatenate(got) if got else np.empty((0, 2), np.int64), columns=["a", "b"])
 
     return run
 
@@ -189,8 +206,9 @@ def line_links(lines: DataFrame, edits: Edits) -> DataFrame:
     keyed = lines.select("id", "line").mapInArrow(_keyed(edits), "key bigint, id bigint")
     grouped = keyed.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"))
     lists = stored(grouped.where("low <> high"))
-    # Few keys are shared by different lines: their members come from a second pass over the lines.
-    entries = stored(keyed.join(lists.select("key"), "key").distinct())
+    # Few keys are shared by different lines: their members come from a second pass over the lines. The keys grow with
+    # the input, so they are merged at every size and never broadcast.
+    entries = stored(keyed.join(lists.select("key").hint("merge"), "key").distinct())
     wanted = entries.select("id").distinct()
     texts = stored(lines.select("id", "line").join(wanted, "id", "left_semi").dropDuplicates(["id"]))
 
