@@ -69,7 +69,7 @@ class Scan:
 
     unknown_sample: int = 4_000
     features: int = 1 << 16
-    piece: int = 60
+    piece: int = 40
     confirmed_at: float = 0.7
     false_alarms: float = 0.001
     seed: int = 7
@@ -99,6 +99,24 @@ class Model:
     temperature: float = 1.0
     accepted_at: float = 0.5
 
+    def hopeful(self, words: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Texts whose features could, at best, lift some family far enough above unknown to be accepted.
+
+        A feature's lift is its largest weight of a family over unknown, so no family's lead exceeds the sum of lifts.
+        """
+        size = np.uint64(len(self.weights))
+        lift = (self.weights[:, :-1] - self.weights[:, -1:]).max(axis=1).astype(np.float64)
+        counts = np.diff(offsets)
+        n = 3 * counts - np.minimum(counts, 1) - np.minimum(counts, 2)
+        owner = np.repeat(np.arange(len(counts)), counts)
+        score, run = lift[(words % size).astype(np.int64)], words
+        for k in (2, 3):
+            run = mixed(run[: max(0, len(words) - k + 1)] * _BASE + words[k - 1 :])
+            score[: len(run)] += lift[(run % size).astype(np.int64)] * (owner[: len(run)] == owner[k - 1 :])
+        upto = np.concatenate(([0.0], np.cumsum(score)))
+        lead = (upto[offsets[1:]] - upto[offsets[:-1]]) / np.sqrt(np.maximum(n, 1)) + (self.bias[:-1] - self.bias[-1]).max()
+        return np.flatnonzero((counts > 0) & (lead >= self.temperature * np.log(self.accepted_at / (1 - self.accepted_at)) - 1e-3))
+
     def probabilities(self, words: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         at, starts = _featured(words, offsets, len(self.weights))
         n = np.diff(starts)
@@ -233,7 +251,11 @@ def _scanned(ids: pa.Array, texts: list[bytes], model: Model, scan: Scan) -> pa.
     raw = [line for x in split for line in x]
     words, offsets = word_hashes([line.translate(_WORDS) for line in raw], lower=False)
     w, o, of = _pieces(raw, words, offsets, scan.piece)
-    p = model.probabilities(w, o)
+    hopeful = model.hopeful(w, o)
+    lengths = np.diff(o)[hopeful]
+    ends = np.cumsum(lengths)
+    w, of = w[np.repeat(o[hopeful] - (ends - lengths), lengths) + np.arange(lengths.sum())], of[hopeful]
+    p = model.probabilities(w, np.concatenate(([0], ends)))
     best = p.argmax(axis=1)
     chance = p[np.arange(len(p)), best]
     hits = np.flatnonzero((best < len(model.families) - 1) & (chance >= model.accepted_at))
