@@ -7,6 +7,8 @@ import os
 import pytest
 
 import __spark_entry__ as entry_points
+from tripstrata.plans.oracles import ORACLES
+from tripstrata.plans.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 TABLES = (
@@ -49,8 +51,8 @@ def test_query(spark, duck, name):
     assert _sorted(df.columns, rows) == _sorted(expected.columns, expected.fetchall())
 
 
-def test_only_freshness_lacks_sql():
-    assert set(entry_points.queries()) - set(entry_points.oracle_sql()) == {"data_freshness"}
+def test_every_trip_query_has_sql():
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_flagship_values(spark):

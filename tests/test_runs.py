@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 from datetime import timedelta
 
 import pytest
@@ -174,3 +175,57 @@ def test_second_file_of_a_month_keeps_the_first(spark, tmp_path):
     assert tables.read_silver(spark, layers).count() == 2
     raw_file(tmp_path / "incoming" / "yellow_tripdata_2025-02.parquet", {})
     assert tables.read_silver(spark, _stream(spark, tmp_path, **options)).count() == 3
+
+
+def test_months_as_folders_of_parts_that_differ(spark, tmp_path):
+    """A plain folder is a month of its service; columns and types of every part count; odd characters in paths."""
+    zone_csv(tmp_path / "zones.csv")
+    yellow = tmp_path / "raw" / "a b%20c+" / "yellow"
+    raw_file(yellow / "yellow_tripdata_2025-01.parquet" / "part-0.parquet", {"passenger_count": 4}, drop=("congestion_surcharge",))
+    raw_file(yellow / "yellow_tripdata_2025-01.parquet" / "part-1.parquet", {"passenger_count": 4.0, "congestion_surcharge": 2.5, "PULocationID": 20})
+    raw_file(yellow / "yellow_tripdata_2025-02.parquet", {})
+    layers, result = _run(spark, tmp_path, Scope.of(["yellow"], [2025], [1, 2]))
+    assert (result["bronze"].processed_files, result["bronze"].skipped_files) == (2, 0)
+    silver = tables.read_silver(spark, layers)
+    assert sorted(map(tuple, silver.select("pickup_month", "congestion_surcharge", "source_file_name").collect()), key=str) == sorted(
+        [(1, None, "yellow_tripdata_2025-01.parquet"), (1, 2.5, "yellow_tripdata_2025-01.parquet"), (2, 0.0, "yellow_tripdata_2025-02.parquet")], key=str
+    )
+
+
+def test_missing_required_column_stops_the_run_before_bronze_changes(spark, tmp_path):
+    _land(tmp_path)
+    layers, _ = _run(spark, tmp_path)
+    before = _rows(tables.read_bronze(spark, layers))
+    raw_file(tmp_path / "raw" / "yellow" / "yellow_tripdata_2025-02.parquet", {}, drop=("trip_distance",))
+    with pytest.raises(trip_files.BadFilesError, match="yellow_tripdata_2025-02.parquet: missing column trip_distance"):
+        _run(spark, tmp_path)
+    assert _rows(tables.read_bronze(spark, layers)) == before
+
+
+def test_stream_takes_old_files_and_corrections(spark, tmp_path):
+    zone_csv(tmp_path / "zones.csv")
+    raw_file(tmp_path / "incoming" / "yellow_tripdata_2025-01.parquet", {})
+    old = raw_file(tmp_path / "incoming" / "yellow_tripdata_2025-02.parquet", {})
+    os.utime(old, (1_600_000_000, 1_600_000_000))
+    options = {"archive": str(tmp_path / "archive")}
+    layers = _stream(spark, tmp_path, **options)
+    assert tables.read_silver(spark, layers).count() == 2
+    raw_file(tmp_path / "incoming" / "corrected" / "yellow_tripdata_2025-01.parquet", {"total_amount": 99.0})
+    layers = _stream(spark, tmp_path, **options)
+    amounts = tables.read_silver(spark, layers).filter("pickup_month = 1").select("total_amount").collect()
+    assert [r.total_amount for r in amounts] == [99.0]
+
+
+def test_bad_files_do_not_stop_the_stream(spark, tmp_path):
+    zone_csv(tmp_path / "zones.csv")
+    raw_file(tmp_path / "incoming" / "yellow_tripdata_2025-01.parquet", {"total_amount": -1.0})
+    layers = _stream(spark, tmp_path)
+    raw_file(tmp_path / "incoming" / "yellow_tripdata_2025-02.parquet", {}, drop=("trip_distance",))
+    (tmp_path / "incoming" / "yellow_tripdata_2025-03.parquet").write_bytes(b"no parquet")
+    raw_file(tmp_path / "incoming" / "yellow_tripdata_2025-04.parquet", {})
+    _stream(spark, tmp_path)
+    failed = {r.path.rsplit("/", 1)[1][16:23]: r.reason for r in spark.read.parquet(layers.failed_files).collect()}
+    assert failed == {"2025-01": "critical check failed", "2025-02": "missing column trip_distance", "2025-03": "unreadable"}
+    assert [r.pickup_month for r in tables.read_silver(spark, layers).collect()] == [4]
+    raw_file(tmp_path / "incoming" / "yellow_tripdata_2025-05.parquet", {})
+    assert tables.read_silver(spark, _stream(spark, tmp_path)).count() == 2

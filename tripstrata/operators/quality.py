@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from tripstrata.operators.rules import VIOLATIONS, is_compliant, violation_counts
 from tripstrata.operators.zones import UNKNOWN
 
+# Cadence and overall texts; metric, definition, threshold text, unit, and the test of `current_value`.
 CADENCE = "Every pipeline run"
-
-# Metric, definition, threshold text, unit, and the test of `current_value`.
+ALL_PASS = "ALL METRICS PASS"
 METRICS = {
     "zone_mapping_completeness": (
         "Percent of records in gold.monthly_zone_metrics where borough and zone are not Unknown.",
@@ -32,7 +32,6 @@ METRICS = {
     ),
 }
 
-ALL_PASS = "ALL METRICS PASS"
 SOME_FAIL = "SOME METRICS NEED ATTENTION"
 
 
@@ -205,10 +204,8 @@ def critical_checks(silver: DataFrame, gold: DataFrame) -> DataFrame:
     return of_silver.unionByName(of_gold)
 
 
-def data_freshness(table: DataFrame) -> DataFrame:
-    """Hours since the newest file of a file-backed table was written; NULL without files."""
-    newest = table.select(F.col("_metadata.file_modification_time").alias("modified")).agg(
-        F.max("modified").alias("newest")
-    )
-    micros = F.unix_micros(F.current_timestamp()) - F.unix_micros("newest")
+def data_freshness(files: DataFrame, now: Column | None = None) -> DataFrame:
+    """Hours from the newest `modified` of the product's and the report's files to `now`; NULL without files."""
+    newest = files.agg(F.max("modified").alias("newest"))
+    micros = F.unix_micros(F.current_timestamp() if now is None else now) - F.unix_micros("newest")
     return newest.select(F.round(micros / F.lit(3.6e9), 4).alias("data_freshness_hours"))

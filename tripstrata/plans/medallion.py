@@ -84,7 +84,7 @@ def store_monthly_files(
 ) -> list[Partition]:
     """Replace the bronze months that the files, given as (service, year, month, path), belong to."""
     files = list(files)
-    touched = sorted({file[:3] for file in files})
+    touched = sorted({(service, year, month) for service, year, month, _ in files})
     if files:
         found = [(service, path) for service, _, _, path in files]
         trips = trip_files.scan_trips(spark, found, default_year, default_month)
@@ -101,11 +101,12 @@ def build_bronze(
     grid = scope.grid(spark)
     chosen = [
         (row.service_type, row.pickup_year, row.pickup_month, row.path)
-        for row in in_scope(listed, grid).collect()
+        for row in in_scope(trip_files.monthly_parts(files, year, month), grid).collect()
     ]
+    processed = in_scope(listed, grid).count()
     skipped = out_of_scope(listed, grid).count()
     touched = store_monthly_files(spark, chosen, layers, year, month)
-    return BronzeResult(len(chosen), skipped, touched)
+    return BronzeResult(processed, skipped, touched)
 
 
 def build_silver(spark: SparkSession, layers: Layers, touched: list[Partition]) -> SilverResult:
@@ -179,7 +180,10 @@ def validate(spark: SparkSession, layers: Layers) -> dict:
     }
     silver = _one_row(silver_measures(tables.read_silver(spark, layers)))
     gold = _one_row(gold_measures(gold_table))
-    metrics = quality_metrics(silver, gold, data_freshness(gold_table)).collect()
+    product_files = trip_files.list_files(spark, layers.zone_metrics).unionByName(
+        trip_files.list_files(spark, layers.validation_report, names="part-*")
+    )
+    metrics = quality_metrics(silver, gold, data_freshness(product_files)).collect()
     checks = {row.check_name: row.passed for row in critical_checks(silver, gold).collect()}
     on_silver, on_gold = silver.first(), gold.first()
     described = [_metric_record(row.asDict()) for row in metrics]

@@ -446,11 +446,24 @@ ORACLES: dict[str, str] = {
         + " UNION ALL "
         + _contract("payment_type_metrics", "payment_metrics", _PAYMENT_CONTRACT),
     ),
-    "bronze_overwrite_partitions": _with(_TRIPS, _PARTITION_COUNTS.format(table="trips")),
+    "bronze_overwrite_partitions": _with(
+        _TRIPS,
+        """SELECT service_type, pickup_year, pickup_month,
+          CASE WHEN again > 0 THEN again ELSE all_rows END AS row_count,
+          CASE WHEN again > 0 THEN again ELSE had END AS changed_rows
+        FROM (SELECT service_type, pickup_year, pickup_month, count(*) AS all_rows,
+                count(*) FILTER (pickup_year = 1997 AND pu_location_id % 2 = 0) AS again,
+                count(*) FILTER (total_amount = 0.25) AS had FROM trips GROUP BY ALL)""",
+    ),
     "silver_overwrite_partitions": _with(
         _SILVER, _PARTITION_COUNTS.format(table="(SELECT * FROM silver WHERE pickup_month <> 1)")
     ),
-    "gold_overwrite_months": _ZONE_METRICS,
+    "gold_overwrite_months": _with(
+        _GOLD, "SELECT * FROM zone_metrics WHERE pickup_month <> 2 OR pu_location_id % 2 = 0"
+    ),
+    "data_freshness": """SELECT round(date_diff('microsecond', max(modified), TIMESTAMP '2030-01-01 00:00:00') / 3.6e9, 4)
+          AS data_freshness_hours
+        FROM (SELECT o_orderdate AS modified FROM orders UNION ALL SELECT ts FROM events)""",
     "run_stats": _with(
         _GOLD,
         """SELECT 'processed_files' AS stat, count(DISTINCT source_file_name) AS stat_value
@@ -481,5 +494,17 @@ ORACLES: dict[str, str] = {
           count(*) AS row_count, sum(total_amount) AS total_amount FROM trips GROUP BY ALL""",
     ),
     "stream_medallion_equals_batch": _with(_GOLD, _LATER.format(table="zone_metrics")),
+    "stream_redelivery": _with(
+        _TRIPS,
+        """SELECT service_type, CAST(pickup_year + 10 AS INTEGER) AS pickup_year, pickup_month, count(*) AS row_count,
+          sum(CASE WHEN pickup_month = 1 THEN total_amount * 2 ELSE total_amount END) AS total_amount
+        FROM trips GROUP BY ALL""",
+    ),
+    "stream_failed_files": _with(
+        _TRIPS,
+        """SELECT DISTINCT concat(service_type, '_tripdata_', CAST(pickup_year + 10 AS VARCHAR), '-',
+                 lpad(CAST(pickup_month AS VARCHAR), 2, '0'), '.parquet') AS source_file_name,
+          CASE WHEN pickup_month = 1 THEN 'missing column trip_distance' ELSE 'handled' END AS outcome FROM trips""",
+    ),
     "stream_idempotent_replay": _with(_GOLD, _LATER.format(table="payment_metrics")),
 }

@@ -157,7 +157,7 @@ def data_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def filename_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = star_trips.listed_files(spark, sf_dir)
-    named = files.select("path", events.file_name_of(F.col("path")).alias("source_file_name"))
+    named = files.select("path", events.events.file_name_of(F.col("path")).alias("source_file_name"))
     return trip_files.with_period(named, RUN_SCOPE.years[0], RUN_SCOPE.months[0])
 
 
@@ -267,10 +267,10 @@ def critical_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def data_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hours since the gold table, written here, was last modified."""
-    layers = Layers(work_dir(spark, "freshness"))
-    write_gold(_zone_metrics(spark, sf_dir), layers.zone_metrics)
-    return quality.data_freshness(tables.read_zone_metrics(spark, layers))
+    """Hours from the newest order or event, taken for files of the gold table and the report, to a given instant."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderkey").cast("string").alias("path"), F.col("o_orderdate").cast("timestamp").alias("modified"))
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("event_id").cast("string").alias("path"), F.col("ts").cast("timestamp").alias("modified"))
+    return quality.data_freshness(orders.unionByName(events), F.lit("2030-01-01 00:00:00").cast("timestamp"))
 
 
 # Product --------------------------------------------------------------------------------------
@@ -323,12 +323,15 @@ def _partition_counts(df: DataFrame) -> DataFrame:
 
 
 def bronze_overwrite_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All months written, then the months of one year again: nothing doubles, nothing is lost."""
+    """All months written, then those of one year again with other amounts: these are replaced, the rest stays."""
     layers = Layers(work_dir(spark, "bronze"))
     bronze = tables.evenly_by_partition(star_trips.bronze_trips(spark, sf_dir), PARTITION_COLUMNS)
     write_bronze(bronze, layers, [])
-    write_bronze(bronze.filter("pickup_year = 1997"), layers, [])
-    return _partition_counts(tables.read_bronze(spark, layers))
+    changed = bronze.filter("pickup_year = 1997 AND PULocationID % 2 = 0").withColumn("total_amount", F.lit(0.25))
+    write_bronze(changed, layers, [])
+    return tables.read_bronze(spark, layers).groupBy(*PARTITION_COLUMNS).agg(
+        F.count(F.lit(1)).alias("row_count"), F.count_if("total_amount = 0.25").alias("changed_rows")
+    )
 
 
 def _stored_layers(spark: SparkSession, sf_dir: str, label: str) -> Layers:
@@ -359,8 +362,12 @@ def silver_overwrite_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gold_overwrite_months(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Months without silver rows keep their earlier gold rows."""
+    """Months without silver rows keep their earlier gold rows; a month that arrives with other rows is replaced."""
     layers = _after_bad_january(spark, sf_dir, "gold")
+    fewer = star_trips.bronze_trips(spark, sf_dir).filter("pickup_month = 2 AND PULocationID % 2 = 0")
+    written = write_bronze(fewer, layers, [])
+    silver = build_silver(spark, layers, sorted(written.partitions))
+    build_gold(spark, layers, silver.touched_months)
     return tables.read_zone_metrics(spark, layers)
 
 
@@ -464,6 +471,44 @@ def stream_idempotent_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_payment_metrics(spark, layers)
 
 
+def _corrected(trips: DataFrame) -> DataFrame:
+    """The first month's amounts doubled, as a publisher's correction of its file."""
+    return trips.filter("source_file_name LIKE '%-01.parquet'").withColumn("total_amount", F.col("total_amount") * 2)
+
+
+def stream_redelivery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """January files arrive again, corrected, under another path, while the first ones are archived."""
+    root = work_dir(spark, "stream-redelivery")
+    layers, lookup = Layers(f"{root}/layers"), f"{root}/taxi_zone_lookup.csv"
+    star_trips.land_zones(spark, sf_dir, lookup)
+    for place in ("first", "again"):
+        for service in SERVICES:
+            trips = star_trips.raw_service_trips(spark, sf_dir, service, STREAM_YEARS_LATER)
+            star_trips.land_files(trips if place == "first" else _corrected(trips), f"{root}/incoming/{place}")
+        start_arrivals(
+            spark, f"{root}/incoming", lookup, layers, f"{root}/checkpoint", archive=f"{root}/archive"
+        ).awaitTermination()
+    return tables.read_bronze(spark, layers).groupBy(*PARTITION_COLUMNS).agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum("total_amount").alias("total_amount")
+    )
+
+
+def stream_failed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """January files lack a column the rules need: they are recorded, and all other months are handled."""
+    root = work_dir(spark, "stream-failed")
+    layers, lookup = Layers(f"{root}/layers"), f"{root}/taxi_zone_lookup.csv"
+    star_trips.land_zones(spark, sf_dir, lookup)
+    for service in SERVICES:
+        trips = star_trips.raw_service_trips(spark, sf_dir, service, STREAM_YEARS_LATER)
+        star_trips.land_files(trips.filter("source_file_name NOT LIKE '%-01.parquet'"), f"{root}/incoming")
+        star_trips.land_files(trips.filter("source_file_name LIKE '%-01.parquet'").drop("trip_distance"), f"{root}/incoming")
+    start_arrivals(spark, f"{root}/incoming", lookup, layers, f"{root}/checkpoint").awaitTermination()
+    failed = spark.read.schema("path string, reason string").parquet(layers.failed_files)
+    name = events.file_name_of(F.col("path")).alias("source_file_name")
+    handled = tables.read_bronze(spark, layers).select("source_file_name", F.lit("handled").alias("outcome"))
+    return failed.select(name, F.col("reason").alias("outcome")).unionByName(handled).distinct()
+
+
 QUERIES: dict[str, Query] = {
     "trip_duration": trip_duration,
     "record_hash": record_hashes,
@@ -512,4 +557,6 @@ QUERIES: dict[str, Query] = {
     "stream_ingest_bronze": stream_ingest_bronze,
     "stream_medallion_equals_batch": stream_medallion_equals_batch,
     "stream_idempotent_replay": stream_idempotent_replay,
+    "stream_redelivery": stream_redelivery,
+    "stream_failed_files": stream_failed_files,
 }

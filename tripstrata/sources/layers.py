@@ -55,6 +55,10 @@ class Layers:
     def rejected_files(self) -> str:
         return self.path("quality", "rejected_files")
 
+    @property
+    def failed_files(self) -> str:
+        return self.path("quality", "failed_files")
+
     @property
     def quality_metrics(self) -> str:
         return self.path("quality", "data_product_quality_metrics")

@@ -11,50 +11,61 @@ from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripstrata.functions.trips import file_period
 from tripstrata.functions.values import typed_value
-from tripstrata.schemas import RAW_TYPES, ZONE_LOOKUP_SCHEMA
+from tripstrata.schemas import RAW_TYPES, TRIP_FIELDS, ZONE_LOOKUP_SCHEMA
 from tripstrata.sources.scope import Scope, services_without_files
 
-# Path of a monthly file: its own path, its service folder and its name.
+# Path of a monthly file: its own path, its service folder and its name. A folder named like a file is no service.
 _MONTHLY_FILE = (
-    r"^(.*/(?:service_type=)?([^/=]+)/(?:source_file_name=)?([^/=]+\.parquet))(?:/[^/]+\.parquet)?$"
+    r"^(.*/(?:service_type=)?((?![^/]*\.parquet/)[^/=]+)/(?:source_file_name=)?([^/=]+\.parquet))(?:/[^/]+\.parquet)?$"
 )
 # The name of a monthly file in the path of the file or of one of its parts.
 NAME_IN_PATH = r"(?:^|/)(?:source_file_name=)?([^/=]+\.parquet)(?:/[^/]+\.parquet)?$"
-_MONTHLY_FOLDER = re.compile(r"(\.parquet)/[^/]+\.parquet$")
 
-FILE_SCHEMA = "path string"
+# Spark's error conditions, and Parquet's own text, for a file that is no readable Parquet file.
+_UNREADABLE = re.compile("CANNOT_READ_FILE_FOOTER|FAILED_READ_FILE|UNABLE_TO_INFER_SCHEMA|is not a Parquet file")
 
+FILE_SCHEMA = "path string, modified timestamp"
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a file or folder is there, on whichever file system the path names."""
-    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    file_system = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return file_system.exists(hadoop_path)
 
+class BadFilesError(ValueError):
+    """Monthly files that can't be stored: (path, reason) each."""
 
-def list_files(spark: SparkSession, *roots: str) -> DataFrame:
-    """`path` of every parquet file under the roots; a root that does not exist holds none.
+    def __init__(self, failures: list[tuple[str, str]]) -> None:
+        super().__init__("; ".join(f"{path}: {reason}" for path, reason in failures))
+        self.failures = failures
 
-    This is the file index Spark builds for any scan (in parallel for many folders); no file is
-    opened and no job reads data.
+
+def _is_missing(error: AnalysisException) -> bool:
+    return error.getCondition() == "PATH_NOT_FOUND"
+
+
+def list_files(spark: SparkSession, *roots: str, names: str = "*.parquet") -> DataFrame:
+    """`path` and `modified` of every file so named under the roots; a root that does not exist holds none.
+
+    The paths stay in Spark: this is the file index of a scan whose content column is not read.
     """
-    paths: list[str] = []
+    listed = spark.createDataFrame([], FILE_SCHEMA)
     for root in roots:
-        if path_exists(spark, root):
+        try:
             index = (
                 spark.read.format("binaryFile")
                 .option("recursiveFileLookup", "true")
-                .option("pathGlobFilter", "*.parquet")
+                .option("pathGlobFilter", names)
                 .load(root)
             )
-            paths.extend(index.inputFiles())
-    return spark.createDataFrame([(path,) for path in paths], FILE_SCHEMA)
+        except AnalysisException as error:
+            if not _is_missing(error):
+                raise
+            continue
+        listed = listed.unionByName(index.select("path", F.col("modificationTime").alias("modified")))
+    return listed
 
 
 def monthly_files(files: DataFrame, default_year: int, default_month: int) -> DataFrame:
@@ -67,6 +78,16 @@ def monthly_files(files: DataFrame, default_year: int, default_month: int) -> Da
     return with_period(named.filter("source_file_name != ''"), default_year, default_month)
 
 
+def monthly_parts(files: DataFrame, default_year: int, default_month: int) -> DataFrame:
+    """One row per file on storage, which is a monthly file or a part of one: its own `path`, and as in `monthly_files`."""
+    named = files.select(
+        "path",
+        F.regexp_extract("path", _MONTHLY_FILE, 2).alias("service_type"),
+        F.regexp_extract("path", _MONTHLY_FILE, 3).alias("source_file_name"),
+    ).distinct()
+    return with_period(named.filter("source_file_name != ''"), default_year, default_month)
+
+
 def with_period(df: DataFrame, default_year: int, default_month: int) -> DataFrame:
     """`df` with `pickup_year` and `pickup_month` of its `source_file_name`."""
     year, month = file_period(F.col("source_file_name"), default_year, default_month)
@@ -90,14 +111,30 @@ def _monthly_file_name() -> Column:
     )
 
 
-def _file_schemas(spark: SparkSession, paths: list[str]) -> list[T.StructType]:
-    """Schema of each monthly file, from one footer each; a few footers are read at a time."""
+def _schemas(spark: SparkSession, files: list[tuple[str, str]]) -> list[T.StructType | str]:
+    """Schema of each (service, path), or why it can't be stored. Every part has its own footer read, a few at a time."""
 
-    def footer(path: str) -> T.StructType:
-        return spark.read.option("recursiveFileLookup", "true").parquet(path).schema
+    def schema(file: tuple[str, str]) -> T.StructType | str:
+        service, path = file
+        try:
+            found = spark.read.option("recursiveFileLookup", "true").parquet(path).schema
+        except Exception as error:  # Spark tells of a bad footer by several classes, some from the JVM
+            if _UNREADABLE.search(str(error)):
+                return "unreadable"
+            raise
+        names = {name.lower() for name in found.names}
+        needed = [f.source[service] for f in TRIP_FIELDS if f.required and service in f.source]
+        missing = [name for name in needed if name.lower() not in names]
+        return f"missing column {', '.join(missing)}" if missing else found
 
     with ThreadPoolExecutor(max_workers=16) as pool:
-        return list(pool.map(footer, paths))
+        return list(pool.map(schema, files))
+
+
+def bad_files(spark: SparkSession, files: Iterable[tuple[str, str]]) -> list[tuple[str, str]]:
+    """(path, reason) of files, given as (service, path), that are unreadable or lack a column the rules need."""
+    files = sorted(set(files))
+    return [(path, found) for (_, path), found in zip(files, _schemas(spark, files), strict=True) if isinstance(found, str)]
 
 
 def _common_type(types: set[T.DataType]) -> str:
@@ -118,14 +155,15 @@ def scan_trips(
     A single parquet read fails on files that disagree on a type (passenger_count is bigint in
     some months, double in others). So files of equal service and schema are read together, known
     columns take their bronze type, and the few reads are united by name with NULL for columns a
-    file lacks. Columns outside the known ones are kept.
+    file lacks. Columns outside the known ones are kept. Parts of one month may differ as files do. A file that
+    can't be read or lacks a column the rules need stops the scan before anything is written.
     """
     files = sorted(set(files))
-    sample = {_MONTHLY_FOLDER.sub(r"\1", path): path for _, path in files}
-    schemas = dict(zip(sample, _file_schemas(spark, list(sample.values()))))
+    schemas = _schemas(spark, files)
+    if failures := [(path, s) for (_, path), s in zip(files, schemas, strict=True) if isinstance(s, str)]:
+        raise BadFilesError(failures)
     groups: dict[tuple[str, str], tuple[T.StructType, list[str]]] = {}
-    for service, path in files:
-        schema = schemas[_MONTHLY_FOLDER.sub(r"\1", path)]
+    for (service, path), schema in zip(files, schemas, strict=True):
         ordered = sorted((f.name.lower(), f.dataType.simpleString()) for f in schema.fields)
         groups.setdefault((service, str(ordered)), (schema, []))[1].append(path)
     return unite_trips(
@@ -175,5 +213,9 @@ def require_input_files(
     missing = [row.service_type for row in services_without_files(requested, files).collect()]
     if missing:
         raise FileNotFoundError(f"No parquet files found for services: {', '.join(sorted(missing))}")
-    if not path_exists(spark, zone_lookup):
-        raise FileNotFoundError(f"Missing taxi zone lookup file: {zone_lookup}")
+    try:
+        read_zone_lookup(spark, zone_lookup)
+    except AnalysisException as error:
+        if not _is_missing(error):
+            raise
+        raise FileNotFoundError(f"Missing taxi zone lookup file: {zone_lookup}") from error

@@ -8,13 +8,15 @@ partitions, so a repeated micro-batch changes nothing.
 
 from __future__ import annotations
 
-from functools import reduce
+import hashlib
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tripstrata.plans.medallion import (
+    DataQualityError,
     build_gold,
     build_silver,
     store_monthly_files,
@@ -44,6 +46,8 @@ def read_arrivals(
         .schema(_ARRIVAL_SCHEMA)
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.parquet")
+        # Restored files keep old modification times. The price: the map of seen paths never shrinks.
+        .option("maxFileAge", "36500d")
     )
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -62,50 +66,79 @@ def _trip_events(events: DataFrame) -> DataFrame:
     )
 
 
-def _stored_files(spark: SparkSession, folders: list[str]) -> DataFrame:
-    """Accepted files in the folders; of files with equal names, the one in the first folder."""
-    listed = [
-        trip_files.list_files(spark, folder).withColumn("place", F.lit(place))
-        for place, folder in enumerate(folders)
-    ]
-    files = reduce(DataFrame.unionByName, listed)
+def _plain(path: str) -> str:
+    """A path without scheme and authority."""
+    return re.sub(r"^[^:/]+:(//[^/]*)?", "", path).rstrip("/")
+
+
+def _stored_files(spark: SparkSession, incoming: str, archive: str | None) -> DataFrame:
+    """Accepted files by month. Of several deliveries of a monthly file the newest holds, of equally new ones the last path.
+
+    A delivery is what arrived under one path, a file or a folder of parts, archived meanwhile or not; of parts of
+    one name the newest counts.
+    """
+    folders = [incoming] if archive is None else [archive, incoming]
+    files = trip_files.list_files(spark, *folders)
     events = _trip_events(classify_files(files)).join(files, "path")
-    part = F.regexp_extract("path", r"([^/]+)$", 1).alias("part")
-    return events.groupBy(*PARTITION_COLUMNS, "file_name", part).agg(
-        F.min_by("path", "place").alias("path")
+    arrived_at = F.regexp_replace("path", r"^[^:/]+:(//[^/]*)?", "")
+    if archive is not None:
+        prefix = _plain(archive)
+        arrived_at = F.when(F.startswith(arrived_at, F.lit(f"{prefix}/")), F.substring(arrived_at, len(prefix) + 1, 1_000_000)).otherwise(arrived_at)
+    parts = events.withColumns(
+        {"part": F.regexp_extract("path", r"([^/]+)$", 1), "delivery": F.regexp_replace(arrived_at, r"(\.parquet)/[^/]+\.parquet$", "$1")}
     )
+    key = [*PARTITION_COLUMNS, "file_name"]
+    newest = parts.groupBy(*key).agg(F.max_by("delivery", F.struct("modified", "delivery")).alias("delivery"))
+    return parts.join(newest, [*key, "delivery"]).groupBy(*key, "part").agg(F.max_by("path", F.struct("modified", "path")).alias("path"))
+
+
+def _record(rows: DataFrame, table: str, arrived: list[str]) -> None:
+    """Rows under a key made of the batch's paths: a repeated batch replaces its own rows, another one never does."""
+    key = hashlib.sha256("\n".join(sorted(arrived)).encode()).hexdigest()[:32]
+    rows.write.mode("overwrite").parquet(f"{table}/batch={key}")
 
 
 def rebuild_months(
     spark: SparkSession,
     arrived: DataFrame,
-    batch_id: int,
-    folders: list[str],
+    incoming: str,
+    archive: str | None,
     zone_csv: str,
     layers: Layers,
 ) -> None:
     """Handle arrived paths: record rejects, rebuild the touched months, validate.
 
-    `folders` are all places a file of those months may lie, since an earlier file of the month may
-    be archived already.
+    A month's files are looked for in both folders, since an earlier one may be archived already. Bad data does not stop the stream: a month with a file that can't be stored stays
+    as it is, and that file is recorded with its reason, as is a failed check. Other errors are raised.
     """
     events = classify_files(arrived).persist()
     try:
         rejected = events.filter("reject_reason IS NOT NULL").select("path", "reject_reason")
-        rejected.write.mode("overwrite").parquet(f"{layers.rejected_files}/batch={batch_id}")
+        paths = [row.path for row in events.select("path").collect()]
+        _record(rejected, layers.rejected_files, paths)
         months = _trip_events(events).select(*PARTITION_COLUMNS).distinct().collect()
     finally:
         events.unpersist()
     if not months:
         return
-    of_months = _stored_files(spark, folders).filter(one_of(PARTITION_COLUMNS, months))
+    of_months = _stored_files(spark, incoming, archive).filter(one_of(PARTITION_COLUMNS, months))
     files = [tuple(row) for row in of_months.select(*PARTITION_COLUMNS, "path").collect()]
-    _, year, month = min(months)
-    rebuilt = store_monthly_files(spark, files, layers, year, month)
-    write_zone_lookup(trip_files.read_zone_lookup(spark, zone_csv), layers)
-    silver = build_silver(spark, layers, rebuilt)
-    build_gold(spark, layers, silver.touched_months)
-    validate(spark, layers)
+    failures = trip_files.bad_files(spark, [(service, path) for service, _, _, path in files])
+    bad = {path for path, _ in failures}
+    bad_months = {file[:3] for file in files if file[3] in bad}
+    good = [file for file in files if file[:3] not in bad_months]
+    if good:
+        _, year, month = min(months)
+        rebuilt = store_monthly_files(spark, good, layers, year, month)
+        write_zone_lookup(trip_files.read_zone_lookup(spark, zone_csv), layers)
+        silver = build_silver(spark, layers, rebuilt)
+        build_gold(spark, layers, silver.touched_months)
+        try:
+            validate(spark, layers)
+        except DataQualityError:
+            failures += [(path, "critical check failed") for *_, path in good]
+    if failures:
+        _record(spark.createDataFrame(sorted(failures), "path string, reason string"), layers.failed_files, paths)
 
 
 def start_arrivals(
@@ -124,12 +157,12 @@ def start_arrivals(
     Several pending files share one micro-batch, so a month with many part files is rebuilt once;
     `max_files_per_trigger=1` gives one file at a time. Micro-batches never overlap.
     """
-    # A file must not move while the rebuild that lists both folders runs.
+    # A file must not move while the rebuild that lists both folders runs. The setting is the session's, so it holds
+    # for the file streams that are started in it later, too.
     spark.conf.set("spark.sql.streaming.fileSource.cleaner.numThreads", "0")
-    folders = [incoming] if archive is None else [archive, incoming]
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        rebuild_months(batch.sparkSession, batch, batch_id, folders, zone_csv, layers)
+    def handle(batch: DataFrame, _: int) -> None:
+        rebuild_months(batch.sparkSession, batch, incoming, archive, zone_csv, layers)
 
     writer = (
         read_arrivals(spark, incoming, max_files_per_trigger, archive)
