@@ -89,8 +89,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_embedding_near_dups": op10_embedding_near_dups,
 }
 
-ORACLES: dict[str, str] = {}
-
 
 def quality_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """The documents that the rules keep."""
