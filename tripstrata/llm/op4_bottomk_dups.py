@@ -1,12 +1,13 @@
 """Near duplicates by bottom-k sketches from one hash function, confirmed on full shingle sets.
 
 A document's shingles are hashed once; its sketch is the k smallest distinct hashes. Documents with equal sets become
-one class. Inverted lists hold, for each retained value, the classes that keep it. Two classes at the threshold share
-at least `overlap` of the k smallest values of their union but for a chance below 1e-7, so each class is listed
-only under its rarest values, k - overlap + 1 of them: values of a passage that much of the corpus shares are rarely
-among those, and a pair still meets in a list. Members of a list are first held against the list's leader alone.
-Afterwards only lists whose members lie in more than one component are compared pair by pair, a block of
-members at a time inside a task. The union sketch's estimate filters pairs; full sets give the verdict.
+one class. Inverted lists hold, for each of a sketch's first values, the classes that keep it. Two classes at the
+threshold share at least `met` of those, so each class is listed only under its rarest ones, listed - met + 1 of them:
+values of a passage that much of the corpus shares are rarely among those, and a pair still meets in a list. The lists'
+tasks count the values that two sketches share, a block of members at a time, and a pair goes on if the union of both
+sketches allows a link. What a list sends on is a spanning forest of its likely pairs, never all of them; full sets
+confirm or refute these. Lists whose members then lie in one component are done. After some rounds the members that
+still have likely partners in other components meet once more, with their full sets, and every such pair is decided.
 """
 
 from __future__ import annotations
@@ -25,17 +26,23 @@ from tripstrata.llm.shared import components, grams, mixed, slices, stored, word
 
 @dataclass(frozen=True)
 class Near:
-    """Words in a shingle; link if 100 * intersection >= percent * union; sketch size; values shared at least."""
+    """Words in a shingle; link if 100 * intersection >= percent * union; sketch sizes and the values shared at least.
+
+    The first `listed` values of a sketch of k go to the inverted lists; `met` of those, and `overlap` of all k, are shared by a
+    linked pair but for a chance below 1e-6 (binomial at the threshold).
+    """
 
     words: int = 5
     percent: int = 80
-    k: int = 48
-    overlap: int = 20
-    #: Lists of up to so many members are joined with themselves; longer ones are compared block by block.
-    short: int = 50
+    k: int = 64
+    overlap: int = 35
+    listed: int = 16
+    met: int = 4
+    #: Members of a list that are compared with each other in one go, by sketch and by full set.
     block: int = 1000
-    #: Pairs of two components that are tried before all of theirs are.
-    tried_first: int = 20
+    set_block: int = 500
+    #: Rounds that confirm a spanning forest of each list's likely pairs, before all likely pairs are held against full sets.
+    rounds: int = 1
 
 
 def shingle_sets(texts: list[bytes], words: int) -> list[np.ndarray]:
@@ -82,142 +89,220 @@ def _full_sets(near: Near):
     return run
 
 
-def _values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(value, id, n_shingles) for each value of each sketch."""
-    for batch in batches:
-        sketches = batch.column(2).to_pylist()
-        sizes = np.fromiter((len(s) // 8 for s in sketches), np.int64, len(sketches))
-        columns = (np.repeat(batch.column(i).to_numpy(), sizes) for i in range(2))
-        yield pa.record_batch([pa.array(np.frombuffer(b"".join(sketches), np.int64)), *map(pa.array, columns)], names=["value", "id", "n_shingles"])
-
-
-def _shared_least(n: np.ndarray, m: np.ndarray, near: Near) -> np.ndarray:
-    """Values that two sketches share at least if their sets, of n and m shingles, are linked."""
-    return np.minimum(near.overlap, np.ceil(np.maximum(n, m) * near.percent / 100)).astype(np.int64)
-
-
-def estimates(a: list[bytes], b: list[bytes], k: int) -> np.ndarray:
-    """For each pair of sketches, how many of the k smallest values of their union both hold."""
-    out = np.zeros(len(a), np.int64)
-    for i, (x, y) in enumerate(zip(a, b, strict=True)):
-        both = np.sort(np.concatenate((np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64))))
-        twice = both[1:] == both[:-1]
-        place = np.arange(len(twice)) - np.cumsum(twice) + twice  # distinct values before this one
-        out[i] = (twice & (place < k)).sum()
-    return out
-
+def _values(near: Near):
+    """(value, id, n_shingles) for each listed value of each sketch."""
 
-def _sized(near: Near) -> str:
-    return f"100 * least(n, m) >= {near.percent} * greatest(n, m)"
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sketches = [s[: 8 * near.listed] for s in batch.column(2).to_pylist()]
+            sizes = np.fromiter((len(s) // 8 for s in sketches), np.int64, len(sketches))
+            columns = (np.repeat(batch.column(i).to_numpy(), sizes) for i in range(2))
+            yield pa.record_batch([pa.array(np.frombuffer(b"".join(sketches), np.int64)), *map(pa.array, columns)], names=["value", "id", "n_shingles"])
 
+    return run
 
-def _estimated(pairs: DataFrame, classes: DataFrame, near: Near) -> DataFrame:
-    """The pairs (a, b) of classes whose sizes and union sketch allow a link."""
-    sides = classes.select("id", "n_shingles", "sketch")
-    left = sides.select(F.col("id").alias("a"), F.col("n_shingles").alias("n"), F.col("sketch").alias("s"))
-    right = sides.select(F.col("id").alias("b"), F.col("n_shingles").alias("m"), F.col("sketch").alias("t"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            shared = estimates(batch.column(2).to_pylist(), batch.column(3).to_pylist(), near.k)
-            on = shared >= _shared_least(batch.column(4).to_numpy(), batch.column(5).to_numpy(), near)
-            yield pa.record_batch(batch.columns[:2], names=["a", "b"]).filter(pa.array(on))
+def _sets(wanted: DataFrame, rows: DataFrame, near: Near) -> DataFrame:
+    """(id, set): full sets of the texts of the wanted ids (doc_id).
 
-    joined = pairs.join(left, "a").join(right, "b").where(_sized(near))
-    return joined.select("a", "b", "s", "t", "n", "m").mapInArrow(run, "a bigint, b bigint")
+    The wanted ids grow with the input, so they are merged with the texts at every size and never broadcast.
+    """
+    return stored(rows.join(wanted.distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_full_sets(near), "id bigint, set binary"))
 
 
 def _confirmed(pairs: DataFrame, rows: DataFrame, near: Near) -> DataFrame:
     """The pairs (a, b) of ids that are linked by their full sets. Only texts in a pair are made into sets, and once."""
     pairs = stored(pairs)
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = stored(rows.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_full_sets(near), "id bigint, set binary"))
+    sets = _sets(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")), rows, near)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            on = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                on.append(100 * both >= near.percent * (len(x) + len(y) - both))
+            on = [_holds(x.as_buffer(), y.as_buffer(), near) for x, y in zip(batch.column(2), batch.column(3), strict=True)]
             yield pa.record_batch(batch.columns[:2], names=["a", "b"]).filter(pa.array(on, pa.bool_()))
 
     joined = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("set").alias("y")), "b")
     return stored(joined.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint"))
 
 
-def _compared(near: Near):
-    """Pairs of one block pair's members, of different components, whose sketches share enough values."""
-
-    def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        _, first, second = key
-        left = frame[frame["block"] == first].reset_index(drop=True)
-        right = left if first == second else frame[frame["block"] == second].reset_index(drop=True)
-        shared = np.zeros((len(left), len(right)), np.int16)
-
-        def by_value(f: pd.DataFrame) -> dict[int, np.ndarray]:
-            sizes = [len(s) // 8 for s in f["sketch"]]
-            values, owner = np.frombuffer(b"".join(f["sketch"]), np.uint64), np.repeat(np.arange(len(f)), sizes)
-            order = np.argsort(values, kind="stable")
-            cuts = np.flatnonzero(np.diff(values[order])) + 1
-            return {int(values[o[0]]): owner[o] for o in np.split(order, cuts) if len(o)}
-
-        here, there = by_value(left), by_value(right)
-        for value in here.keys() & there.keys():
-            shared[np.ix_(here[value], there[value])] += 1
-        n, m = left["n_shingles"].to_numpy()[:, None], right["n_shingles"].to_numpy()[None, :]
-        c, d = left["component"].to_numpy()[:, None], right["component"].to_numpy()[None, :]
-        can = (c != d) & (shared >= _shared_least(n, m, near)) & (100 * np.minimum(n, m) >= near.percent * np.maximum(n, m))
-        if first == second:
-            can &= np.arange(len(left))[:, None] < np.arange(len(right))
-        i, j = np.nonzero(can)
-        a, b = left["id"].to_numpy()[i], right["id"].to_numpy()[j]
-        p, q = left["component"].to_numpy()[i], right["component"].to_numpy()[j]
-        out = pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "p": np.minimum(p, q), "q": np.maximum(p, q), "shared": shared[i, j]})
-        out = out.sort_values(["p", "q", "shared", "a", "b"], ascending=[True, True, False, True, True])
-        return out.assign(turn=out.groupby(["p", "q"]).cumcount())
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
+    """Runs of rows with equal (value, first, second), which come sorted by these."""
+    rest: pd.DataFrame | None = None
+    for batch in batches:
+        frame = batch.to_pandas()
+        if rest is not None:
+            frame = pd.concat([rest, frame], ignore_index=True)
+        if not len(frame):
+            continue
+        key = frame[["value", "first", "second"]].to_numpy()
+        cuts = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
+        for a, b in zip([0, *cuts[:-1]], cuts, strict=False):
+            yield frame.iloc[a:b]
+        rest = frame.iloc[cuts[-1] if len(cuts) else 0 :]
+    if rest is not None and len(rest):
+        yield rest
+
+
+def _likely(group: pd.DataFrame, near: Near) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(i, j, shared values) of a group's pairs of different components whose sizes and sketches allow a link.
+
+    In a pair of blocks only pairs across the blocks count. A pair counts in the first list, by value, that holds both.
+    """
+    m, first, second = len(group), group["first"].iat[0], group["second"].iat[0]
+    sketches = [np.frombuffer(s, np.uint64) for s in group["sketch"]]
+    n, c, block = (group[x].to_numpy() for x in ("n_shingles", "component", "block"))
+    can = (c[:, None] != c) & (100 * np.minimum(n[:, None], n) >= near.percent * np.maximum(n[:, None], n)) & np.tri(m, m, -1, dtype=bool).T
+    if first != second:
+        can &= block[:, None] != block
+    if not can.any():
+        return (np.empty(0, np.int64),) * 3
+    shared = _common(sketches)
+    least = np.minimum(near.overlap, np.ceil(np.maximum(n[:, None], n) * near.percent / 100))
+    can &= shared >= least
+    here = group["value"].iat[0]
+    earlier = [np.array([v for v in x if v < here], np.int64) for x in group["lists"]]
+    can &= _common(earlier) == 0
+    i, j = np.nonzero(can)
+    return i, j, shared[i, j]
+
+
+def _common(sets: list[np.ndarray]) -> np.ndarray:
+    """How many values each two of the sets share."""
+    m = len(sets)
+    sizes = [len(s) for s in sets]
+    if not sum(sizes):
+        return np.zeros((m, m), np.int32)
+    if m <= 4:
+        out = np.zeros((m, m), np.int32)
+        for i in range(m):
+            for j in range(i):
+                out[i, j] = out[j, i] = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+        return out
+    values, at = np.unique(np.concatenate(sets), return_inverse=True)
+    often = np.bincount(at) > 1
+    column = np.cumsum(often) - 1
+    owner, on = np.repeat(np.arange(m), sizes), often[at]
+    owner, at = owner[on], column[at[on]]
+    out = np.zeros((m, m), np.float32)
+    width = max(1, 4_000_000 // m)  # columns of the 0/1 matrix at once
+    order = np.argsort(at, kind="stable")
+    owner, at = owner[order], at[order]
+    for start in range(0, int(often.sum()), width):
+        part = slice(*np.searchsorted(at, [start, start + width]))
+        holds = np.zeros((m, min(width, int(often.sum()) - start)), np.float32)
+        holds[owner[part], at[part] - start] = 1
+        out += holds @ holds.T
+    return out.astype(np.int32)
+
+
+class _Sets:
+    """Disjoint sets of components."""
+
+    def __init__(self) -> None:
+        self.up: dict[int, int] = {}
+
+    def root(self, x: int) -> int:
+        while (y := self.up.get(x, x)) != x:
+            self.up[x] = self.up.get(y, y)
+            x = y
+        return x
+
+    def join(self, x: int, y: int) -> bool:
+        x, y = self.root(x), self.root(y)
+        self.up[max(x, y)] = min(x, y)
+        return x != y
+
+
+def _forest(near: Near, turn: int):
+    """For each list, of its members' likeliest pairs those that would join components.
+
+    In the last turn, instead, the members (a) of each list (value in b) that still have a likely pair.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple[int, int]] = []
+        for group in _groups(batches):
+            i, j, shared = _likely(group, near)
+            ids, c = group["id"].to_numpy(), group["component"].to_numpy()
+            if turn == near.rounds:
+                out += [(int(x), int(group["value"].iat[0])) for x in ids[np.unique(np.concatenate((i, j)))]]
+            else:
+                best = np.lexsort((ids[j], ids[i], -shared))
+                # Each member's best partner is enough for a round.
+                best = best[np.sort(np.unique(np.concatenate((i[best], j[best])), return_index=True)[1] % max(1, len(best)))]
+                sets = _Sets()
+                out += [tuple(sorted((int(ids[i[k]]), int(ids[j[k]])))) for k in best if sets.join(int(c[i[k]]), int(c[j[k]]))]
+            if len(out) > 10_000:
+                yield _pairs(out)
+                out = []
+        yield _pairs(out)
+
+    return run
+
+
+def _pairs(out: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.record_batch([pa.array(x, pa.int64()) for x in (zip(*out, strict=True) if out else ((), ()))], names=["a", "b"])
+
+
+def _exact(near: Near):
+    """Links that join components of a list, by full sets, of all its likely pairs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches):
+            out: list[tuple[int, int]] = []
+            i, j, _ = _likely(group, near)
+            ids, c, sets = group["id"].to_numpy(), group["component"].to_numpy(), _Sets()
+            if len(i):
+                full = [np.frombuffer(x, np.uint64) for x in group["set"]]
+                size, both = np.array([len(x) for x in full]), _common(full)[i, j]
+                on = 100 * both.astype(np.int64) >= near.percent * (size[i] + size[j] - both)
+                out += [(int(ids[p]), int(ids[q])) for p, q in zip(i[on], j[on], strict=True) if sets.join(int(c[p]), int(c[q]))]
+            yield _pairs(out)
 
     return run
 
 
+def _holds(x: bytes, y: bytes, near: Near) -> bool:
+    x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= near.percent * (len(x) + len(y) - both)
+
+
+def _dealt(members: DataFrame, block: int) -> DataFrame:
+    """Members of lists, with `members` in the list, once for each pair of blocks of it, sorted by list and pair."""
+    blocks = F.ceil(F.col("members") / block).cast("int")
+    split = members.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    paired = split.withColumn("first", F.least("block", "other")).withColumn("second", F.greatest("block", "other")).drop("other", "blocks", "members")
+    return paired.repartition("value", "first", "second").sortWithinPartitions("value", "first", "second", "id")
+
+
 def linked_classes(rows: DataFrame, classes: DataFrame, near: Near) -> DataFrame:
     """Links (a, b) between class ids enough to connect whatever the full sets link. `rows`: doc_id, text."""
-    values = classes.select("id", "n_shingles", "sketch").mapInArrow(_values, "value bigint, id bigint, n_shingles bigint")
+    values = classes.select("id", "n_shingles", "sketch").mapInArrow(_values(near), "value bigint, id bigint, n_shingles bigint")
     lists = values.groupBy("value").agg(F.count("*").alias("in_lists")).where("in_lists > 1")
     # A class's values that no other has are its rarest; how many those are is what is missing from its sketch here.
     often = values.join(lists, "value").groupBy("id", "n_shingles").agg(F.sort_array(F.collect_list(F.struct("in_lists", "value"))).alias("often"))
-    size = f"least(n_shingles, {near.k})"
-    least = f"least({near.overlap}, CAST(ceil(n_shingles * {near.percent} / 100) AS int))"
-    entries = stored(often.select("id", "n_shingles", F.explode(F.expr(f"slice(often, 1, greatest(0, CAST({size} - {least} + 1 - ({size} - size(often)) AS int)))")).alias("x")).select("id", "n_shingles", F.col("x.value").alias("value")))
-
-    leaders = entries.groupBy("value").agg(F.min("id").alias("a"))
-    stars = entries.join(leaders, "value").select("a", F.col("id").alias("b")).where("a <> b").distinct()
-    links = _confirmed(_estimated(stars, classes, near), rows, near)
-
-    for all_pairs in (False, True):
-        known = components(links).withColumnRenamed("node", "id")
-        labelled = entries.join(known, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        open_lists = labelled.groupBy("value").agg(F.count("*").alias("members"), F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-        if all_pairs and open_lists.where(F.col("members") > near.short).isEmpty():
-            break  # all pairs of the short lists have been tried
-        opened = labelled.join(open_lists.select("value", "members"), "value")
-        short = opened.where(F.col("members") <= near.short).drop("members")
-        other = short.select("value", F.col("id").alias("b"), F.col("n_shingles").alias("m"), F.col("component").alias("d"))
-        few = short.withColumnsRenamed({"id": "a", "n_shingles": "n"}).join(other, "value").where("a < b AND component <> d").where(_sized(near)).select("a", "b")
-        blocks = F.ceil(F.col("members") / near.block).cast("int")
-        members = (
-            opened.where(F.col("members") > near.short).withColumn("blocks", blocks)
-            .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-            .join(classes.select("id", "sketch"), "id")
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .select("value", "id", "n_shingles", "component", "sketch", "block", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"))
-        )
-        found = members.groupBy("value", "first", "second").applyInPandas(_compared(near), "a bigint, b bigint, p bigint, q bigint, shared int, turn bigint")
-        if all_pairs:
-            pairs = found.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
-        else:
-            tried = pairs = stored(found.where(F.col("turn") < near.tried_first).select("a", "b").unionByName(few).distinct())
-        links = links.unionByName(_confirmed(_estimated(pairs, classes, near), rows, near))
+    size = f"least(n_shingles, {near.listed})"
+    least = f"least({near.met}, CAST(ceil(n_shingles * {near.percent} / 100) AS int))"
+    first = F.expr(f"transform(slice(often, 1, greatest(0, CAST({size} - {least} + 1 - ({size} - size(often)) AS int))), x -> x.value)")
+    listed = stored(often.select("id", "n_shingles", first.alias("lists")).where("size(lists) > 0").join(classes.select("id", "sketch"), "id"))
+    entries = stored(listed.select("id", F.explode("lists").alias("value")))
+
+    links: DataFrame | None = None
+    for turn in range(near.rounds + 1):
+        labelled = entries if links is None else entries.join(components(links).withColumnRenamed("node", "id"), "id", "left")
+        labelled = labelled.withColumn("component", F.col("id") if links is None else F.coalesce("component", "id"))
+        open_lists = labelled.groupBy("value").agg(F.count("*").alias("members"), F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("value", "members")
+        members = labelled.join(open_lists, "value").join(listed, "id")
+        pairs = _dealt(members, near.block).mapInArrow(_forest(near, turn), "a bigint, b bigint").distinct()
+        if turn < near.rounds:
+            found = _confirmed(pairs, rows, near)
+            links = found if links is None else links.unionByName(found)
+            continue
+        left = stored(pairs.select(F.col("a").alias("id"), F.col("b").alias("value")))
+        sets = _sets(left.select(F.col("id").alias("doc_id")), rows, near)
+        counted = left.join(left.groupBy("value").agg(F.count("*").alias("members")), "value")
+        full = counted.join(labelled, ["id", "value"]).join(listed, "id").join(sets, "id")
+        links = links.unionByName(stored(_dealt(full, near.set_block).mapInArrow(_exact(near), "a bigint, b bigint")))
     return links
 
 
