@@ -25,10 +25,10 @@ from tripstrata.operators.quality import (
     quality_metrics,
     silver_measures,
 )
-from tripstrata.operators.rules import VIOLATIONS, keep_compliant
+from tripstrata.operators.rules import VIOLATIONS, failed_rules, is_compliant, keep_compliant
 from tripstrata.operators.standardize import standardize
 from tripstrata.operators.zones import zone_lookup
-from tripstrata.schemas import BRONZE_SCHEMA, MONTH_COLUMNS, PARTITION_COLUMNS, SILVER_SCHEMA
+from tripstrata.schemas import BRONZE_SCHEMA, MONTH_COLUMNS, PARTITION_COLUMNS, REJECTED_SCHEMA, SILVER_SCHEMA
 from tripstrata.sources import layers as tables
 from tripstrata.sources import trip_files
 from tripstrata.sources.layers import Layers, Partition
@@ -109,16 +109,10 @@ def build_bronze(
     return BronzeResult(processed, skipped, touched)
 
 
-def build_silver(spark: SparkSession, layers: Layers, touched: list[Partition]) -> SilverResult:
-    """Rebuild the touched silver partitions from bronze.
-
-    Each service reads only its own folders, so rule filters on its columns reach the parquet scan.
-    A touched partition whose rows all fail the rules is left empty.
-    """
-    if not touched:
-        return SilverResult(0, [])
+def standard_trips(spark: SparkSession, layers: Layers, touched: list[Partition]) -> DataFrame:
+    """The touched bronze partitions in the silver schema, unfiltered."""
     bronze = tables.read_bronze(spark, layers)
-    standard = reduce(
+    return reduce(
         DataFrame.unionByName,
         [
             standardize(
@@ -130,6 +124,26 @@ def build_silver(spark: SparkSession, layers: Layers, touched: list[Partition])
             for service in sorted({service for service, _, _ in touched})
         ],
     )
+
+
+def build_rejects(spark: SparkSession, layers: Layers, touched: list[Partition]) -> int:
+    """Rebuild the touched partitions of the rejected trips, each with the rules it fails; returns their number."""
+    if not touched:
+        return 0
+    rejects = standard_trips(spark, layers, touched).filter(~is_compliant()).withColumn("failed_rules", failed_rules())
+    rows = tables.evenly_by_partition(rejects.select(*REJECTED_SCHEMA.names), PARTITION_COLUMNS)
+    return tables.replace_trip_partitions(rows, layers.rejected_trips, REJECTED_SCHEMA, touched).row_count
+
+
+def build_silver(spark: SparkSession, layers: Layers, touched: list[Partition]) -> SilverResult:
+    """Rebuild the touched silver partitions from bronze.
+
+    Each service reads only its own folders, so rule filters on its columns reach the parquet scan.
+    A touched partition whose rows all fail the rules is left empty.
+    """
+    if not touched:
+        return SilverResult(0, [])
+    standard = standard_trips(spark, layers, touched)
     silver = tables.evenly_by_partition(silver_from_standard(standard), PARTITION_COLUMNS)
     written = tables.replace_trip_partitions(silver, layers.silver_trips, SILVER_SCHEMA, touched)
     return SilverResult(written.row_count, tables.months_of(touched))
@@ -235,5 +249,6 @@ def run_batch(
     bronze = build_bronze(spark, files, scope, layers)
     write_zone_lookup(trip_files.read_zone_lookup(spark, zone_csv), layers)
     silver = build_silver(spark, layers, bronze.touched_partitions)
+    build_rejects(spark, layers, bronze.touched_partitions)
     gold = build_gold(spark, layers, silver.touched_months)
     return {"bronze": bronze, "silver": silver, "gold": gold, "validation": validate(spark, layers)}

@@ -458,6 +458,12 @@ ORACLES: dict[str, str] = {
     "silver_overwrite_partitions": _with(
         _SILVER, _PARTITION_COUNTS.format(table="(SELECT * FROM silver WHERE pickup_month <> 1)")
     ),
+    "rejected_trips": _with(
+        _TRIPS,
+        f"""SELECT service_type, pickup_year, pickup_month, failed_rules, count(*) AS row_count
+        FROM (SELECT service_type, pickup_year, pickup_month, {_REASONS} AS failed_rules FROM standard)
+        WHERE failed_rules <> '' GROUP BY ALL""",
+    ),
     "gold_overwrite_months": _with(
         _GOLD, "SELECT * FROM zone_metrics WHERE pickup_month <> 2 OR pu_location_id % 2 = 0"
     ),

@@ -17,6 +17,7 @@ from tripstrata.operators.zones import zone_lookup
 from tripstrata.plans.medallion import (
     build_bronze,
     build_gold,
+    build_rejects,
     build_silver,
     silver_from_standard,
     write_bronze,
@@ -330,7 +331,7 @@ def bronze_overwrite_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     changed = bronze.filter("pickup_year = 1997 AND PULocationID % 2 = 0").withColumn("total_amount", F.lit(0.25))
     write_bronze(changed, layers, [])
     return tables.read_bronze(spark, layers).groupBy(*PARTITION_COLUMNS).agg(
-        F.count(F.lit(1)).alias("row_count"), F.count_if("total_amount = 0.25").alias("changed_rows")
+        F.count(F.lit(1)).alias("row_count"), F.count_if(F.col("total_amount") == 0.25).alias("changed_rows")
     )
 
 
@@ -361,6 +362,21 @@ def silver_overwrite_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _partition_counts(tables.read_silver(spark, layers))
 
 
+def rejected_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected trips as stored, counted by partition and failed rules; January arrives twice and counts once."""
+    layers = Layers(work_dir(spark, "rejects"))
+    bronze = tables.evenly_by_partition(star_trips.bronze_trips(spark, sf_dir), PARTITION_COLUMNS)
+    touched = sorted(write_bronze(bronze, layers, []).partitions)
+    build_rejects(spark, layers, touched)
+    build_rejects(spark, layers, [partition for partition in touched if partition[2] == 1])
+    reasons = F.concat_ws(",", "failed_rules").alias("failed_rules")
+    return (
+        tables.read_rejected_trips(spark, layers)
+        .groupBy(*PARTITION_COLUMNS, reasons)
+        .agg(F.count(F.lit(1)).alias("row_count"))
+    )
+
+
 def gold_overwrite_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Months without silver rows keep their earlier gold rows; a month that arrives with other rows is replaced."""
     layers = _after_bad_january(spark, sf_dir, "gold")
@@ -551,6 +567,7 @@ QUERIES: dict[str, Query] = {
     "contract_check": contract_check,
     "bronze_overwrite_partitions": bronze_overwrite_partitions,
     "silver_overwrite_partitions": silver_overwrite_partitions,
+    "rejected_trips": rejected_trips,
     "gold_overwrite_months": gold_overwrite_months,
     "run_stats": run_stats,
     "schema_drift_union": schema_drift_union,

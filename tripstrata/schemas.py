@@ -5,10 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql.types import (
+    ArrayType,
     DoubleType,
     IntegerType,
     LongType,
     StringType,
+    StructField,
     StructType,
     TimestampType,
 )
@@ -97,6 +99,8 @@ SILVER_SCHEMA = _struct(
     + ", source_file_name string, pickup_year int, pickup_month int, trip_duration_minutes int"
 )
 
+REJECTED_SCHEMA = StructType([*SILVER_SCHEMA.fields, StructField("failed_rules", ArrayType(StringType()))])
+
 ZONE_LOOKUP_SCHEMA = _struct(
     "LocationID string, Borough string, Zone string, service_zone string"
 )

@@ -14,6 +14,7 @@ from tripstrata.schemas import (
     MONTH_COLUMNS,
     PARTITION_COLUMNS,
     PAYMENT_METRICS_SCHEMA,
+    REJECTED_SCHEMA,
     SILVER_SCHEMA,
     ZONE_LOOKUP_SCHEMA,
     ZONE_METRICS_SCHEMA,
@@ -43,6 +44,10 @@ class Layers:
     def silver_trips(self) -> str:
         return self.path("silver", "trips")
 
+    @property
+    def rejected_trips(self) -> str:
+        return self.path("quality", "rejected_trips")
+
     @property
     def zone_metrics(self) -> str:
         return self.path("gold", "monthly_zone_metrics")
@@ -85,6 +90,10 @@ def read_silver(spark: SparkSession, layers: Layers) -> DataFrame:
     return _read(spark, layers.silver_trips, SILVER_SCHEMA)
 
 
+def read_rejected_trips(spark: SparkSession, layers: Layers) -> DataFrame:
+    return _read(spark, layers.rejected_trips, REJECTED_SCHEMA)
+
+
 def read_zone_metrics(spark: SparkSession, layers: Layers) -> DataFrame:
     return _read(spark, layers.zone_metrics, ZONE_METRICS_SCHEMA)
 

@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tripstrata.plans.medallion import (
     DataQualityError,
     build_gold,
+    build_rejects,
     build_silver,
     store_monthly_files,
     validate,
@@ -132,6 +133,7 @@ def rebuild_months(
         rebuilt = store_monthly_files(spark, good, layers, year, month)
         write_zone_lookup(trip_files.read_zone_lookup(spark, zone_csv), layers)
         silver = build_silver(spark, layers, rebuilt)
+        build_rejects(spark, layers, rebuilt)
         build_gold(spark, layers, silver.touched_months)
         try:
             validate(spark, layers)
