@@ -210,7 +210,7 @@ def line_links(lines: DataFrame, edits: Edits) -> DataFrame:
     # the input, so they are merged at every size and never broadcast.
     entries = stored(keyed.join(lists.select("key").hint("merge"), "key").distinct())
     wanted = entries.select("id").distinct()
-    texts = stored(lines.select("id", "line").join(wanted, "id", "left_semi").dropDuplicates(["id"]))
+    texts = stored(lines.select("id", "line").join(wanted.hint("merge"), "id", "left_semi").dropDuplicates(["id"]))
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         joined = pairs.join(texts.select(F.col("id").alias("a"), F.col("line").alias("x")), "a").join(texts.select(F.col("id").alias("b"), F.col("line").alias("y")), "b")
@@ -274,7 +274,7 @@ def without_repeated_lines(docs: DataFrame, edits: Edits = Edits(), copies_at: f
     """
     gone = repeated_lines(docs, edits, id_col, text_col).groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_set("line_no").alias("_gone"))
     row = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), docs[id_col].cast("bigint").alias("_id"), docs[text_col].cast("string").alias("_text"))
-    joined = row.join(gone, F.col("_id") == F.col("_doc"), "left").withColumn("_flags", F.expr("map_from_arrays(_gone, array_repeat(true, size(_gone)))"))
+    joined = row.join(gone.hint("merge"), F.col("_id") == F.col("_doc"), "left").withColumn("_flags", F.expr("map_from_arrays(_gone, array_repeat(true, size(_gone)))"))
     kept = F.filter(F.split("_text", "\n"), lambda x, i: F.try_element_at("_flags", i).isNull())
     cut = joined.withColumn("_kept", F.when(F.col("_gone").isNotNull(), F.array_join(kept, "\n")))
     few = F.length("_kept") > (1 - copies_at) * F.length("_text")

@@ -107,7 +107,7 @@ def _sets(wanted: DataFrame, rows: DataFrame, near: Near) -> DataFrame:
 
     The wanted ids grow with the input, so they are merged with the texts at every size and never broadcast.
     """
-    return stored(rows.join(wanted.distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_full_sets(near), "id bigint, set binary"))
+    return stored(rows.join(wanted.distinct().hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_full_sets(near), "id bigint, set binary"))
 
 
 def _confirmed(pairs: DataFrame, rows: DataFrame, near: Near) -> DataFrame:
@@ -328,4 +328,4 @@ def near_duplicates(docs: DataFrame, near: Near = Near(), id_col: str = "doc_id"
 def first_of_each_group(docs: DataFrame, near: Near = Near(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs`, all columns, but for documents whose group has one with a smaller id. Rows without an id stay."""
     gone = near_duplicates(docs, near, id_col, text_col).where("NOT kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col].cast("bigint") == F.col("_gone"), "left_anti")
+    return docs.join(gone.hint("merge"), docs[id_col].cast("bigint") == F.col("_gone"), "left_anti")
