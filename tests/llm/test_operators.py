@@ -378,6 +378,31 @@ def test_pseudonyms(spark):
     assert pseudonyms.pseudonymized(dates, "k", id_col="id").select("text").distinct().count() == dates.count()
 
 
+CARDS = ("4111 1111 1111 1111", "4111-1111-1111-1111", "4111111111111111", "3782 822463 10005", "5500 0000 0000 0004")
+
+
+def test_cards_beside_other_numbers(spark):
+    wraps = ("{}", "{} 12/26", "Order 12 {}", "{} 5500 0000 0000 0004", "{} 12", "{} 25/12/2024", "{} 2024-02-29", "{} 212-555-2485", "{} 10.0.0.1", "{} 123456789012", "7 {} 1234 5678 9012 3456 7890")
+    rows = [(k, w.format(c), "s") for k, (c, w) in enumerate((c, w) for c in CARDS for w in wraps)]
+    out = {r["doc_id"]: r for r in pseudonyms.pseudonymized(table(spark, rows), "k").collect()}
+    for i, text, _ in rows:
+        card = CARDS[i // len(wraps)]
+        assert card not in out[i]["text"] and out[i]["n_card"] >= 1, (text, out[i])
+        assert re.sub(r"\d+", "9", out[i]["text"]) == re.sub(r"\d+", "9", text)
+        assert not any(x in out[i]["text"] for x in ("25/12/2024", "2024-02-29", "212-555-2485", "10.0.0.1", "5500 0000 0000 0004")), (text, out[i])
+        assert "12/26" not in text or out[i]["text"].endswith(" 12/26")
+    # One card, one pseudonym, whatever stands beside it.
+    assert len({out[k]["text"][:19] for k in (0, 1, 3, 4, 5, 6, 7, 9)}) == 1
+
+
+def test_slash_dates_with_the_day_first(spark):
+    days = spark.range(0, 73_100, 3).select("id", F.date_format(F.date_add(F.lit("1900-01-01").cast("date"), F.col("id").cast("int")), "dd/MM/yyyy").alias("text")).where("int(substr(text, 1, 2)) > 12")
+    out = pseudonyms.pseudonymized(days, "k", id_col="id")
+    assert out.where("n_date <> 1").count() == 0 and out.select("text").distinct().count() == days.count()
+    back = pseudonyms.pseudonymized(out.select("doc_id", "text"), "k", back=True).select("doc_id", "text")
+    assert back.exceptAll(days).count() == 0
+
+
 # ---- All operators on tables without rows ---------------------------------------------------------------------------------------------
 
 

@@ -22,9 +22,14 @@ FORMATS = {
     "date": r"(?<!\d)\d{4}-\d{2}-\d{2}(?!\d)|(?<![\d./])\d{1,2}([./])\d{1,2}\1\d{4}(?!\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "phone": r"(?<![\d+])(?:\+?1[ .-]?)?(?:\([2-9]\d{2}\) ?|[2-9]\d{2}[ .-])[2-9]\d{2}[ .-]\d{4}(?!\d)",
-    "card": r"(?<![\d])\d(?:[ -]?\d){12,18}(?![ -]?\d)",
 }
+#: Groups of digits, 13 or more together, up to where a format with other marks starts. Cards lie between limits of groups.
+_EXTENDED = "|".join(f"(?:{FORMATS[k]})" for k in ("email", "ip", "date")).replace(r"([./])\d{1,2}\1", r"(?:\.\d{1,2}\.|/\d{1,2}/)")
+FORMATS["card"] = rf"(?<!\d)(?=\d(?:[ -]?\d){{12}})\d++(?:[ -](?!{_EXTENDED})\d++)*+"
 KINDS = tuple(FORMATS)
+#: How cards are usually written, and the formats that may follow one in the same run of groups.
+USUAL_CARD = r"^(?:\d{4}([ -]?)\d{4}\1\d{4}\1\d{4}(?:\1\d{1,3})?|\d{4}([ -])\d{6}\2\d{4,5}|\d{13,19})$"
+_IN_RUN = rf"^.(\d{{4}}-\d{{2}}-\d{{2}}(?!\d)|(?:{FORMATS['ssn']})|(?:{FORMATS['phone']}))"
 ROUNDS = 10
 #: Days from 1900-01-01 on that count as dates; 340 * 215 of them.
 DAYS = (340, 215)
@@ -135,6 +140,55 @@ def _card(key: str, m: Column, back: bool) -> Column:
     return F.when(F.length(digits).between(13, 19) & (F.pmod(_luhn(digits), F.lit(10)) == 0), new)
 
 
+def _in_run(run: Column) -> Column:
+    """The run of digit groups cut into cards, dates, social security numbers, phones and what is between them.
+
+    Usual card groupings go first, wherever they start; a looser card may not reach into one. What is no card is tried for
+    the other formats, group by group.
+    """
+    most = 19
+    text = lambda g, i, n: F.regexp_replace(F.array_join(F.slice(g, i, n), ""), "[ -]$", "")
+    # Each step's value is bound by a transform of one element, so that it is taken once.
+    bound = lambda x, f: F.get(F.transform(F.array(x), f), F.lit(0))
+    right = lambda part: F.length(_digits(part)).between(13, most) & (F.pmod(_luhn(_digits(part)), F.lit(10)) == 0)
+
+    def starting(g: Column, i: Column) -> Column:
+        """Numbers of groups from i on that make a card: `usual`, the longest written as usual or 0, and `loose`, all."""
+        parts = F.transform(F.sequence(F.lit(1), F.least(F.lit(most), F.size(g) - i + 1)), lambda n: F.struct(n.alias("n"), text(g, i, n).alias("part")))
+        good = F.filter(parts, lambda p: right(p["part"]))
+        longest = lambda x: F.coalesce(F.array_max(F.transform(x, lambda p: p["n"])), F.lit(0))
+        return bound(good, lambda x: F.struct(longest(F.filter(x, lambda p: p["part"].rlike(USUAL_CARD))).alias("usual"), F.transform(x, lambda p: p["n"]).alias("loose")))
+
+    def apart(cards: Column) -> Column:
+        """For each group, how many groups the usual card has that starts there, without those that start inside another."""
+        def step(s: Column, c: Column) -> Column:
+            n = F.when(s["left"] > 0, 0).otherwise(c["usual"])
+            return F.struct(F.greatest(s["left"], n).cast("int").alias("left"), n.alias("n"), s["out"].alias("out"))
+
+        closed = lambda s: F.struct((F.greatest(s["left"], F.lit(1)) - 1).alias("left"), F.lit(0).alias("n"), F.array_append(s["out"], s["n"]).alias("out"))
+        return F.aggregate(cards, F.struct(F.lit(0).alias("left"), F.lit(0).alias("n"), F.array().cast("array<int>").alias("out")), lambda s, c: bound(step(s, c), closed), lambda s: s["out"])
+
+    def cut(g: Column, cards: Column, usual: Column) -> Column:
+        def step(a: Column, i: Column) -> Column:
+            room = F.coalesce(F.array_min(F.filter(F.sequence(F.lit(0), F.lit(most)), lambda k: F.coalesce(F.get(usual, i - 1 + k), F.lit(0)) > 0)), F.lit(most))
+            card = lambda room: F.when(room == 0, F.get(usual, i - 1)).otherwise(F.array_max(F.filter(F.get(cards, i - 1)["loose"], lambda n: n <= room)))
+            other = F.when(i > 1, F.regexp_extract(F.concat(F.right(F.get(g, i - 2), F.lit(1)), F.array_join(F.slice(g, i, 8), "")), _IN_RUN, 1))
+            groups_of = lambda x, room: F.when((F.length(x) > 0) & (F.size(F.split(x, "[ -]")) <= room), F.size(F.split(x, "[ -]")))
+            size = bound(room, lambda r: F.coalesce(card(r), groups_of(other, r), F.lit(1)))
+
+            def add(n: Column) -> Column:
+                mark = F.regexp_extract(F.get(g, i + n - 2), "[ -]?$", 0)
+                return F.struct((i + n).cast("int").alias("at"), F.concat(a["out"], F.array(text(g, i, n), mark)).alias("out"))
+
+            return F.when(i >= a["at"], bound(size, add)).otherwise(a)
+
+        return F.aggregate(F.sequence(F.lit(1), F.size(g)), F.struct(F.lit(1).alias("at"), F.array().cast("array<string>").alias("out")), step, lambda a: a["out"])
+
+    groups = F.regexp_extract_all(run, F.lit(r"(\d+[ -]?)"), F.lit(1))
+    every = lambda g: F.transform(F.sequence(F.lit(1), F.size(g)), lambda i: starting(g, i))
+    return bound(groups, lambda g: bound(every(g), lambda cards: bound(apart(cards), lambda usual: cut(g, cards, usual))))
+
+
 def _phone(key: str, m: Column, back: bool) -> Column:
     digits = F.right(_digits(m), F.lit(10))
     a, rest = F.substr(digits, F.lit(1), F.lit(3)).cast("bigint") - 200, (F.substr(digits, F.lit(4), F.lit(3)).cast("bigint") - 200) * 10_000 + F.substr(digits, F.lit(7)).cast("bigint")
@@ -172,17 +226,30 @@ def _date(key: str, m: Column, back: bool) -> Column:
     iso = m.rlike("^[0-9]{4}-")
     part = F.split(m, "[./-]")
     first, second, third = (F.get(part, F.lit(i)) for i in range(3))
-    # With slashes the month comes first, with points the day.
+    # With slashes the month comes first, or the day if that is no date; with points the day.
     slash = F.contains(m, F.lit("/"))
     year, month, day = F.when(iso, first).otherwise(third), F.when(iso | ~slash, second).otherwise(first), F.when(iso, third).when(slash, second).otherwise(first)
-    at = F.datediff(F.try_to_date(F.concat_ws("-", year, F.lpad(month, 2, "0"), F.lpad(day, 2, "0")), "yyyy-MM-dd"), F.lit("1900-01-01").cast("date"))
+    days = lambda y, m, d: F.datediff(F.try_to_date(F.concat_ws("-", y, F.lpad(m, 2, "0"), F.lpad(d, 2, "0")), "yyyy-MM-dd"), F.lit("1900-01-01").cast("date"))
+    at, swapped = days(year, month, day), F.when(slash, days(third, second, first))
+    dated = lambda p: F.date_add(F.lit("1900-01-01").cast("date"), (p["a"] * DAYS[1] + p["b"]).cast("int"))
+
+    def pair(kind: str, a: Column, b: Column) -> Column:
+        return feistel(key, F.lit(kind), a, b, F.lit(DAYS[0]), F.lit(DAYS[1]), back)
 
     def fill(p: Column) -> Column:
-        date = F.date_add(F.lit("1900-01-01").cast("date"), (p["a"] * DAYS[1] + p["b"]).cast("int"))
+        date = dated(p)
         return F.when(iso, F.date_format(date, "yyyy-MM-dd")).when(slash, F.date_format(date, "MM/dd/yyyy")).otherwise(F.date_format(date, "dd.MM.yyyy"))
 
-    new = F.element_at(F.transform(F.array(feistel(key, F.lit("date"), F.floor(at / DAYS[1]), F.pmod(at, F.lit(DAYS[1])), F.lit(DAYS[0]), F.lit(DAYS[1]), back)), fill), 1)
-    return F.when(at.between(0, DAYS[0] * DAYS[1] - 1), new)
+    def again(p: Column, i: Column) -> Column:
+        # A day up to 12 would be read as a month, so the walk goes on until the day is above; 2 of 5 steps miss.
+        return F.when((i == 0) | (F.dayofmonth(dated(p)) <= 12), pair("day-first date", p["a"], p["b"])).otherwise(p)
+
+    halves = lambda x: (F.floor(x / DAYS[1]), F.pmod(x, F.lit(DAYS[1])))
+    new = F.element_at(F.transform(F.array(pair("date", *halves(at))), fill), 1)
+    a, b = halves(swapped)
+    walked = F.aggregate(F.sequence(F.lit(0), F.lit(60)), F.struct(a.cast("bigint").alias("a"), b.cast("bigint").alias("b")), again, lambda p: F.date_format(dated(p), "dd/MM/yyyy"))
+    inside = lambda x: x.between(0, DAYS[0] * DAYS[1] - 1)
+    return F.when(inside(at), new).when(at.isNull() & inside(swapped), walked)
 
 
 def _email(key: str, m: Column, back: bool) -> Column:
@@ -209,7 +276,7 @@ def pseudonymized(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: s
     Candidates that fail validation stay as they are and aren't counted. A null text stays null with counts 0. Null or repeated
     ids and repeated rows keep their rows; other columns are not read. `back` turns pseudonyms into the values they stand for,
     where the same candidates are found again. Dates outside 1900-01-01 to 2100-02-20 are not taken for dates; slashes put
-    the month first, points the day. The key is part of the query's plan: redact plans and event logs accordingly.
+    the month first, or the day where that gives no date, points the day. Cards are looked for in runs of digit groups, of 13 to 19 digits between limits of groups. The key is part of the query's plan: redact plans and event logs accordingly.
     """
     text = F.col(text_col).cast("string")
     found = F.when(text.rlike(_HINT), F.regexp_extract_all(text, F.lit(_ANY), F.lit(0)))
@@ -222,8 +289,10 @@ def pseudonymized(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: s
             new = F.when(kind == k, make(key, m, back)).otherwise(new)
         return F.struct(kind.alias("kind"), m.alias("old"), new.alias("new"))
 
-    made = rows.withColumn("_made", F.when(F.size("_found") > 0, F.transform("_found", pseudonym)))
+    run = lambda m: ~F.coalesce(*(F.when(m.rlike(p), F.lit(k)) for k, p in _TELLS.items())).isin(*(k for k in KINDS if k != "card"))
+    rows = rows.withColumn("_found", F.transform("_found", lambda m: F.when(run(m), _in_run(m)).otherwise(F.array(m))))
+    made = rows.withColumn("_made", F.when(F.size("_found") > 0, F.transform("_found", lambda parts: F.transform(parts, pseudonym))))
     parts = F.split("text", _ANY, -1)
-    joined = F.array_join(F.zip_with(parts, F.col("_made"), lambda p, m: F.concat(p, F.coalesce(m["new"], m["old"], F.lit("")))), "")
-    count = lambda k: F.coalesce(F.size(F.filter("_made", lambda m: m["new"].isNotNull() & ((m["kind"] == k) if k else F.lit(True)))), F.lit(0)).cast("bigint")
+    joined = F.array_join(F.zip_with(parts, F.col("_made"), lambda p, ms: F.concat(p, F.coalesce(F.array_join(F.transform(ms, lambda m: F.coalesce(m["new"], m["old"])), ""), F.lit("")))), "")
+    count = lambda k: F.coalesce(F.size(F.filter(F.flatten("_made"), lambda m: m["new"].isNotNull() & ((m["kind"] == k) if k else F.lit(True)))), F.lit(0)).cast("bigint")
     return made.select("doc_id", F.when(F.col("_made").isNull(), F.col("text")).otherwise(joined).alias("text"), F.greatest(F.lit(0).cast("bigint"), count(None)).alias("n_found"), *(F.greatest(F.lit(0).cast("bigint"), count(k)).alias(f"n_{k}") for k in KINDS))
