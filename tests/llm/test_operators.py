@@ -307,6 +307,34 @@ def test_line_dedup(spark, edits):
             assert sum(bool(WORD.search(x)) for x in after[i].split("\n")) == n - gone[i]
 
 
+def test_line_stage_takes_lines_from_all_but_copies(spark):
+    own = [[f"{w} {k}" for k, w in enumerate(prose(300 + d, 10, (12, 20)))] for d in range(9)]
+    docs = {d: x for d, x in enumerate(own)}
+    rnd = random.Random(8)
+    docs[20] = [own[d][0] for d in range(9)]  # stitched from several
+    docs[21] = ["One line of its own.", *(own[d][1] for d in range(9))]
+    docs[22] = list(own[0])  # copies of one
+    docs[23] = [*own[1], "short"]
+    docs[24] = own[2][:5]  # an excerpt of a longer one
+    docs[25] = ["It repeats only itself, and so it isn't a copy of any other."] * 8
+    docs[26] = [*own[3][:6], *own[4][:4]]
+    for d in range(27, 40):
+        docs[d] = [rnd.choice(own[rnd.randrange(9)]) for _ in range(rnd.randint(1, 12))]
+    first, stays, lost = {}, {}, collections.defaultdict(collections.Counter)
+    for d, x in sorted(docs.items()):
+        for k, line in enumerate(x):
+            keeper = first.setdefault(line, (d, k))
+            if keeper != (d, k):
+                lost[d][keeper[0]] += len(line) + 1
+    size = {d: sum(len(line) + 1 for line in x) for d, x in docs.items()}
+    for d, x in docs.items():
+        copy = any(k != d and n >= 0.9 * max(size[d], size[k]) for k, n in lost[d].items())
+        stays[d] = "\n".join(x if copy else [line for k, line in enumerate(x) if first[line] == (d, k)])
+    assert (stays[20], stays[21], stays[22], stays[24], stays[26]) == ("", docs[21][0], "\n".join(own[0]), "", "") and "\n" in stays[23] and "\n" not in stays[25]
+    left = lines.without_repeated_lines(table(spark, [(d, "\n".join(x), "s") for d, x in docs.items()]))
+    assert {r["doc_id"]: r["text"] for r in left.collect()} == stays
+
+
 # ---- 2: licences ------------------------------------------------------------------------------------------------------------
 
 
