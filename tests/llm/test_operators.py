@@ -6,6 +6,7 @@ import collections
 import hashlib
 import random
 import re
+import textwrap
 
 import numpy as np
 import public_tokenizers
@@ -351,6 +352,23 @@ def test_licences(spark):
     assert accuracy > 0.8 and 0.5 <= model.accepted_at <= 1
 
 
+MIT = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"
+BSD = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"
+GPL = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation"
+
+
+def test_every_family_of_a_line(spark):
+    plain = prose(15, 60, (20, 200))
+    long_ = " ".join(prose(16, 4, (150, 200)))
+    nc = "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."
+    rows = [(i, t, "s") for i, t in enumerate(plain)]
+    rows += [(100, f"{MIT} {long_} {GPL}", "s"), (101, "Released under the MIT License. Licensed under the Apache License, Version 2.0.", "s"), (102, nc, "s"), (103, f"{nc}\nReleased under the MIT License.", "s")]
+    out = {r["doc_id"]: r for r in licences.scan_licenses(table(spark, rows)).collect()}
+    assert [out[k]["families"] for k in (100, 101, 102, 103)] == [["gpl", "mit"], ["apache-2.0", "mit"], ["cc-by-nc"], ["cc-by-nc", "mit"]]
+    assert [out[k]["n_confirmed"] for k in (100, 101, 102, 103)] == [2, 2, 1, 2]
+    assert all(not out[i]["families"] for i in range(60))
+
+
 # ---- 3: suffix arrays ---------------------------------------------------------------------------------------------------------
 
 

@@ -3,7 +3,8 @@
 A multinomial logistic regression over hashed word 1- to 3-grams tells licence families from an unknown class. It is
 trained on seeded variants of the templates and on a bounded sample of the corpus as unknown text. Held-out
 examples calibrate it: a temperature makes its probabilities honest, and the least probability accepted keeps the held-out unknown
-paragraphs out. A predicted paragraph counts only if a template of that family is mostly in it, word run by word run.
+paragraphs out. Pieces of lines, and pieces over the ends of adjacent lines with words, are judged. A predicted piece counts
+only if a template is mostly in or around it, word run by word run; all such notices count, each on words of its own.
 """
 
 from __future__ import annotations
@@ -100,7 +101,7 @@ class Model:
     accepted_at: float = 0.5
 
     def hopeful(self, words: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Texts whose features could, at best, lift some family far enough above unknown to be accepted.
+        """Texts whose features could, at best, lift the families together far enough above unknown to be accepted.
 
         A feature's lift is its largest weight of a family over unknown, so no family's lead exceeds the sum of lifts.
         """
@@ -115,7 +116,7 @@ class Model:
             score[: len(run)] += lift[(run % size).astype(np.int64)] * (owner[: len(run)] == owner[k - 1 :])
         upto = np.concatenate(([0.0], np.cumsum(score)))
         lead = (upto[offsets[1:]] - upto[offsets[:-1]]) / np.sqrt(np.maximum(n, 1)) + (self.bias[:-1] - self.bias[-1]).max()
-        return np.flatnonzero((counts > 0) & (lead >= self.temperature * np.log(self.accepted_at / (1 - self.accepted_at)) - 1e-3))
+        return np.flatnonzero((counts > 0) & (lead >= self.temperature * np.log(self.accepted_at / (1 - self.accepted_at) / (len(self.families) - 1)) - 1e-3))
 
     def probabilities(self, words: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         at, starts = _featured(words, offsets, len(self.weights))
@@ -189,6 +190,7 @@ def trained(scan: Scan, unknown: list[str]) -> tuple[Model, float]:
         loss[t] = -np.log(np.maximum(model.probabilities(words, offsets)[np.arange(cut), y[held]], 1e-9)).mean()
     model.temperature = min(loss, key=loss.get)
     p = model.probabilities(words, offsets)
+    # Pieces are accepted by the families' sum, of which a piece with two notices gives each a part; no piece falls out by that.
     strays = p[y[held] == len(families) - 1, :-1].max(axis=1, initial=0)
     model.accepted_at = float(max(0.5, np.quantile(strays, 1 - scan.false_alarms) if len(strays) else 0.5))
     return model, float((p.argmax(axis=1) == y[held]).mean())
@@ -207,24 +209,49 @@ def template_share(family: str, text: bytes) -> float:
     return max(len(t & here) / len(t) for t in _TEMPLATE_RUNS[family])
 
 
-def _pieces(lines: list[bytes], words: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(words, offsets, line) of pieces of `size` words, every half piece, of which a line has at least one."""
+def notices(words: list[bytes], least: float) -> list[tuple[str, float, int, int]]:
+    """(family, template share, first word, end) of all notices in the words, best first, that share no word."""
+    left: list[bytes | None] = list(words)
+    out = []
+    while True:
+        runs = [tuple(left[i : i + 3]) for i in range(max(1, len(left) - 2))]
+        best: tuple = (0.0, 0)
+        for family, templates in _TEMPLATE_RUNS.items():
+            for t in templates:
+                if not t.isdisjoint(runs):
+                    width = len(t) + 2 + len(t) // 2  # room for words put in
+                    at = [i for i, r in enumerate(runs) if r in t]
+                    for i in at:
+                        inside = [j for j in at if i <= j <= i + width - 3]
+                        share = len({runs[j] for j in inside}) / len(t)
+                        if share >= least and (share, len(t)) > best[:2]:
+                            best = (share, len(t), family, i, min(inside[-1] + 3, len(left)))
+        if len(best) == 2:
+            return out
+        share, _, family, start, end = best
+        out.append((family, share, start, end))
+        left[start:end] = [None] * (end - start)
+
+
+def _pieces(words: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(words, offsets, unit, place of the first word) of pieces of `size` words, every half piece, of which a unit has at least one."""
     counts = np.diff(offsets)
     if counts.max(initial=0) <= size:
-        return words, offsets, np.arange(len(lines))
+        return words, offsets, np.arange(len(counts)), offsets[:-1]
     n = np.maximum(1, -(-(counts - size) // (size // 2)) + 1)
-    line = np.repeat(np.arange(len(lines)), n)
-    starts = offsets[:-1][line] + (np.arange(len(line)) - np.repeat(np.cumsum(n) - n, n)) * (size // 2)
-    lengths = np.minimum(size, offsets[1:][line] - starts)
+    unit = np.repeat(np.arange(len(counts)), n)
+    starts = offsets[:-1][unit] + (np.arange(len(unit)) - np.repeat(np.cumsum(n) - n, n)) * (size // 2)
+    lengths = np.minimum(size, offsets[1:][unit] - starts)
     at = np.repeat(starts - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
-    return words[at], np.concatenate(([0], np.cumsum(lengths))), line
+    return words[at], np.concatenate(([0], np.cumsum(lengths))), unit, starts
 
 
 def scan_licenses(docs: DataFrame, scan: Scan = Scan(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Licences stated in each row's text: doc_id, n_paragraphs, n_confirmed, n_unconfirmed, families, paragraphs.
 
-    A paragraph is a line with a word; long ones are judged in overlapping pieces. `families` are the confirmed ones, sorted;
-    `paragraphs` holds (line_no, family, probability, template_share, confirmed) of all predicted lines. A null or empty text has none. Null
+    A paragraph is a line with a word; long ones are judged in overlapping pieces, and so are runs of adjacent lines, over whose ends
+    notices may go on. `families` are the confirmed ones, sorted; `paragraphs` holds (line_no, family, probability, template_share,
+    confirmed) of all predicted lines, once for each family: of a notice over several lines, the first. A null or empty text has none. Null
     or repeated ids keep their rows; other columns are not read. Training reads the first 2,000 characters of at most `unknown_sample` paragraphs,
     those with the smallest seeded hashes; every paragraph is then scanned, in one pass without a shuffle.
     """
@@ -250,25 +277,45 @@ def _scanned(ids: pa.Array, texts: list[bytes], model: Model, scan: Scan) -> pa.
     split = [x.split(b"\n") for x in texts]
     raw = [line for x in split for line in x]
     words, offsets = word_hashes([line.translate(_WORDS) for line in raw], lower=False)
-    w, o, of = _pieces(raw, words, offsets, scan.piece)
-    hopeful = model.hopeful(w, o)
-    lengths = np.diff(o)[hopeful]
-    ends = np.cumsum(lengths)
-    w, of = w[np.repeat(o[hopeful] - (ends - lengths), lengths) + np.arange(lengths.sum())], of[hopeful]
-    p = model.probabilities(w, np.concatenate(([0], ends)))
-    best = p.argmax(axis=1)
-    chance = p[np.arange(len(p)), best]
-    hits = np.flatnonzero((best < len(model.families) - 1) & (chance >= model.accepted_at))
     first_line = np.cumsum([0, *map(len, split)])
-    doc = np.searchsorted(first_line, of[hits], side="right") - 1
-    found: list[dict[int, dict]] = [{} for _ in texts]
-    for k, d in zip(hits, doc, strict=True):
-        line, family = int(of[k]), model.families[best[k]]
-        share = template_share(family, raw[line])
-        entry = {"line_no": int(line - first_line[d]), "family": family, "probability": float(chance[k]), "template_share": share, "confirmed": share >= scan.confirmed_at}
-        old = found[d].get(line)
-        if old is None or (entry["confirmed"], entry["probability"]) > (old["confirmed"], old["probability"]):
-            found[d][line] = entry
+    found: list[dict[tuple[int, str], dict]] = [{} for _ in texts]
+    spans: list[list[tuple[int, int, str]]] = [[] for _ in texts]  # (first line, last line, family) of confirmed notices
+    line_of = lambda word: int(np.searchsorted(offsets, word, side="right")) - 1
+    lines = np.stack((offsets[:-1], offsets[1:]), axis=1)
+    for units in (lines,):
+        sizes = np.diff(units, axis=1)[:, 0]
+        upto = np.concatenate(([0], np.cumsum(sizes)))
+        w, o, of, starts = _pieces(words if units is lines else words[np.repeat(units[:, 0] - upto[:-1], sizes) + np.arange(upto[-1])], upto, scan.piece)
+        hopeful = model.hopeful(w, o)
+        lengths = np.diff(o)[hopeful]
+        ends = np.cumsum(lengths)
+        p = model.probabilities(w[np.repeat(o[hopeful] - (ends - lengths), lengths) + np.arange(lengths.sum())], np.concatenate(([0], ends)))
+        for k in np.flatnonzero(1 - p[:, -1] >= model.accepted_at):
+            start, stop = units[of[hopeful[k]]]
+            at = int(starts[hopeful[k]] - upto[of[hopeful[k]]] + start)
+            end = at + int(lengths[k])
+            if units is not lines and line_of(at) == line_of(end - 1):
+                continue  # judged as a piece of its line
+            # Notices may begin before the piece or end after it.
+            low, high = max(int(start), at - scan.piece), min(int(stop), end + scan.piece)
+            one, two = line_of(low), line_of(high - 1)
+            near = b" ".join(x.translate(_WORDS) for x in raw[one : two + 1]).split()[low - offsets[one] : high - offsets[one]]
+            d = int(np.searchsorted(first_line, one, side="right")) - 1
+            sure = notices(near, scan.confirmed_at)
+            for family, share, i, j in sure:
+                line, last = line_of(low + i) - int(first_line[d]), line_of(low + j - 1) - int(first_line[d])
+                entry = {"line_no": line, "family": family, "probability": float(p[k, model.families.index(family)]), "template_share": share, "confirmed": True}
+                old = found[d].get((line, family))
+                if old is None or (True, share, entry["probability"]) > (old["confirmed"], old["template_share"], old["probability"]):
+                    found[d][line, family] = entry
+                spans[d].append((line, last, family))
+            best = int(p[k, :-1].argmax())
+            family, covered = model.families[best], range(line_of(at) - int(first_line[d]), line_of(end - 1) - int(first_line[d]) + 1)
+            old = [found[d][x, family] for x in covered if (x, family) in found[d]]
+            if not sure and (not old or (units is lines and not old[0]["confirmed"] and old[0]["probability"] < p[k, best])):
+                found[d][covered[0], family] = {"line_no": covered[0], "family": family, "probability": float(p[k, best]), "template_share": template_share(family, b" ".join(near)), "confirmed": False}
+    for d, confirmed in enumerate(spans):
+        found[d] = {x: e for x, e in found[d].items() if e["confirmed"] or not any(a <= x[0] <= b for a, b, _ in confirmed)}
     sure = [[e for e in f.values() if e["confirmed"]] for f in found]
     has_word = np.add.reduceat((np.diff(offsets) > 0).astype(np.int64), first_line[:-1]) if len(raw) else np.zeros(0, np.int64)
     return pa.record_batch(
