@@ -369,6 +369,20 @@ def test_every_family_of_a_line(spark):
     assert all(not out[i]["families"] for i in range(60))
 
 
+def test_notices_over_several_lines(spark):
+    plain = prose(15, 60, (20, 200))
+    rows = [(i, t, "s") for i, t in enumerate(plain)]
+    wraps = [(text, mark, width) for text in (MIT, BSD, GPL) for mark in ("", "# ", " * ", "// ") for width in (30, 60, 72)]
+    rows += [(100 + k, "\n".join(["import things", "", *(mark + x for x in textwrap.wrap(text, width)), "", plain[k]]), "s") for k, (text, mark, width) in enumerate(wraps)]
+    rows += [(200, f"{textwrap.fill(MIT, 40)}\n{textwrap.fill(GPL, 40)}", "s"), *((300 + k, f"{BSD}\nReleased under CC0 1.0 Universal.", "s") for k in range(40))]
+    out = {r["doc_id"]: r for r in licences.scan_licenses(table(spark, rows)).collect()}
+    for k, (text, _, _) in enumerate(wraps):
+        r = out[100 + k]
+        assert r["families"] == [{MIT: "mit", BSD: "bsd", GPL: "gpl"}[text]] and r["n_confirmed"] == 1, (wraps[k], r)
+        assert [x["line_no"] for x in r["paragraphs"] if x["confirmed"]] == [2]
+    assert out[200]["families"] == ["gpl", "mit"] and out[300]["families"] == ["bsd", "cc0"]
+
+
 # ---- 3: suffix arrays ---------------------------------------------------------------------------------------------------------
 
 

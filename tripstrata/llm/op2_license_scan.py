@@ -209,6 +209,12 @@ def template_share(family: str, text: bytes) -> float:
     return max(len(t & here) / len(t) for t in _TEMPLATE_RUNS[family])
 
 
+def like_a_template(text: str) -> bool:
+    """Whether the text holds so much of some template that it is no example of unknown text."""
+    here = _runs(text.encode().translate(_WORDS).split())
+    return any(4 * len(t & here) >= len(t) and len(t & here) >= min(2, len(t)) for ts in _TEMPLATE_RUNS.values() for t in ts)
+
+
 def notices(words: list[bytes], least: float) -> list[tuple[str, float, int, int]]:
     """(family, template share, first word, end) of all notices in the words, best first, that share no word."""
     left: list[bytes | None] = list(words)
@@ -246,6 +252,19 @@ def _pieces(words: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarr
     return words[at], np.concatenate(([0], np.cumsum(lengths))), unit, starts
 
 
+def _blocks(offsets: np.ndarray, first_line: np.ndarray) -> np.ndarray:
+    """Word ends (start, stop) of runs of two or more adjacent lines with words, of one text each."""
+    some = np.diff(offsets) > 0
+    opens = some.copy()
+    opens[1:] &= ~some[:-1]
+    opens[first_line[first_line < len(some)]] = some[first_line[first_line < len(some)]]
+    block = np.cumsum(opens)[some] - 1
+    lines = np.bincount(block, minlength=int(opens.sum()))
+    start = offsets[:-1][opens]
+    stop = np.append(start[1:], offsets[-1])
+    return np.stack((start, stop), axis=1)[lines > 1]
+
+
 def scan_licenses(docs: DataFrame, scan: Scan = Scan(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Licences stated in each row's text: doc_id, n_paragraphs, n_confirmed, n_unconfirmed, families, paragraphs.
 
@@ -258,7 +277,8 @@ def scan_licenses(docs: DataFrame, scan: Scan = Scan(), id_col: str = "doc_id",
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     lines = rows.select("doc_id", F.explode(F.split("text", "\n")).alias("line")).where("length(line) > 0").select(F.xxhash64(F.lit(scan.seed), "doc_id", "line").alias("h"), F.substring("line", 1, 2_000).alias("line"))
     subject = F.lower("line").rlike("licen[sc]e|copyright|all rights reserved|public domain|permission")
-    unknown = [r["line"] for r in lines.where(~subject).orderBy("h", "line").limit(scan.unknown_sample).collect()]
+    sample = lines.where(~subject).orderBy("h", "line").limit(scan.unknown_sample).collect()
+    unknown = [r["line"] for r in sample if not like_a_template(r["line"])]
     model, _ = trained(scan, unknown)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -282,7 +302,7 @@ def _scanned(ids: pa.Array, texts: list[bytes], model: Model, scan: Scan) -> pa.
     spans: list[list[tuple[int, int, str]]] = [[] for _ in texts]  # (first line, last line, family) of confirmed notices
     line_of = lambda word: int(np.searchsorted(offsets, word, side="right")) - 1
     lines = np.stack((offsets[:-1], offsets[1:]), axis=1)
-    for units in (lines,):
+    for units in (lines, _blocks(offsets, first_line)):
         sizes = np.diff(units, axis=1)[:, 0]
         upto = np.concatenate(([0], np.cumsum(sizes)))
         w, o, of, starts = _pieces(words if units is lines else words[np.repeat(units[:, 0] - upto[:-1], sizes) + np.arange(upto[-1])], upto, scan.piece)
