@@ -91,8 +91,36 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_wo
   NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND coalesce(good, false) AS kept
 FROM counted LEFT JOIN judged USING (doc_id)"""
 
+#: CRC-32 of a decimal number's text, bit by bit.
+_CRC = """xor(4294967295, list_reduce(
+  list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: ascii(x)::BIGINT)),
+  lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)), lambda r, k: xor(r >> 1, 3988292384 * (r & 1)))))"""
+
+_TRIE = rf"""
+WITH own AS (
+  SELECT conv_id AS c, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+rebuilt AS (
+  SELECT own.c, list_concat(coalesce(head.turns[:h], []), own.turns[h + 1:]) AS s
+  FROM (SELECT c, turns, {_CRC} % 4 AS h FROM own) AS own LEFT JOIN own AS head ON head.c = own.c - own.c % 20),
+paths AS (SELECT c, s, d, s[:d] AS node FROM (SELECT c, s, unnest(range(len(s) + 1)) AS d FROM rebuilt)),
+nodes AS (
+  SELECT node, d, min(c) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE len(s) = d), '')) AS ends_sha256,
+    CASE WHEN d = 0 THEN 0 ELSE (count(*) - 1) * len(list_filter(regexp_split_to_array(node[d].text, '[\x20\x09-\x0D]+'), lambda x: x <> '')) END AS own
+  FROM paths GROUP BY node, d),
+children AS (SELECT node[:d - 1] AS node, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL),
+counted AS (SELECT nodes.*, coalesce(n, 0) AS n_children FROM nodes LEFT JOIN children USING (node)),
+below AS (
+  SELECT node[:up] AS node, count_if(n_children = 0) AS n_leaves, sum(own) AS saved
+  FROM (SELECT *, unnest(range(d + 1)) AS up FROM counted) GROUP BY ALL)
+SELECT counted.conv_id, CAST(counted.d AS BIGINT) AS depth, parent.conv_id AS parent_conv_id, counted.n_convs, n_children,
+  CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, counted.ends_sha256
+FROM counted JOIN below USING (node) LEFT JOIN nodes AS parent ON counted.d > 0 AND parent.node = counted.node[:counted.d - 1]"""
+
 ORACLES: dict[str, str] = {
     "op4_minhash_near_dups": _NEAR,
     "op7_quality_rules": _QUALITY,
     "op10_embedding_near_dups": _EMBEDDINGS,
+    "op11_prefix_trie": _TRIE,
 }

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from tripstrata.llm.op1_line_dedup import line_counts, without_repeated_lines
 from tripstrata.llm.op10_embedding_dups import near_duplicates
+from tripstrata.llm.op11_prefix_trie import prefix_trie
+from tripstrata.llm.op12_periodic_runs import periodic_runs
+from tripstrata.llm.op13_lm_scores import lm_scores
 from tripstrata.llm.op2_license_scan import scan_licenses
 from tripstrata.llm.op3_suffix_dedup import dedup_counts
 from tripstrata.llm.op4_bottomk_dups import Near, first_of_each_group
@@ -76,6 +79,21 @@ def op10_embedding_near_dups(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(_table(spark, folder, "embeddings"))
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Nodes of the prefix trie of all rebuilt conversations."""
+    return prefix_trie(_table(spark, folder, "conversations"))
+
+
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Repeating stretches of words of every document."""
+    return periodic_runs(_table(spark, folder, "documents"))
+
+
+def op13_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Log-probability of every document."""
+    return lm_scores(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_license_scan": op2_license_scan,
@@ -87,6 +105,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mix_sources": op8_mix_sources,
     "op9_token_counts": op9_token_counts,
     "op10_embedding_near_dups": op10_embedding_near_dups,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_lm_scores": op13_lm_scores,
 }
 
 
