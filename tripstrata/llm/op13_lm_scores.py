@@ -88,9 +88,10 @@ def level_of(counts: np.ndarray) -> np.ndarray:
 MEAN_COUNT = np.concatenate(([0.0], (2.0 ** np.arange(63) + 2.0 ** np.arange(1, 64) - 1) / 2))
 
 
-def _bit(pairs: np.ndarray, level: np.ndarray | int, probe: int, size: np.ndarray | int) -> np.ndarray:
-    key = mixed(pairs + np.asarray(level).astype(np.uint64) * _OTHER)
-    return (key + np.uint64(probe) * (mixed(key) | np.uint64(1))) % np.asarray(size).astype(np.uint64)
+def _walk(pairs: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where the probes for a pair at a level start, and their step."""
+    key = mixed(pairs + np.uint64(level * int(_OTHER) % 2**64))
+    return key, mixed(key) | np.uint64(1)
 
 
 def filter_bits(pairs: np.ndarray, counts: np.ndarray, bits_per_entry: int = BITS) -> bytes:
@@ -99,9 +100,10 @@ def filter_bits(pairs: np.ndarray, counts: np.ndarray, bits_per_entry: int = BIT
     size = 8 * (int(levels.sum()) * bits_per_entry // 8 + 8)
     bits = np.zeros(size, bool)
     for level in range(1, int(levels.max(initial=0)) + 1):
-        entered = pairs[levels >= level]
-        for probe in range(PROBES):
-            bits[_bit(entered, level, probe, size)] = True
+        at, step = _walk(pairs[levels >= level], level)
+        for _ in range(PROBES):
+            bits[at % np.uint64(size)] = True
+            at += step
     return np.packbits(bits).tobytes()
 
 
@@ -116,17 +118,16 @@ class Filter:
     def levels(self, pairs: np.ndarray, shard: np.ndarray) -> np.ndarray:
         """The level under which each pair is found, 0 for none."""
         found = np.zeros(len(pairs), np.int64)
-        alive = np.arange(len(pairs))
-        level = 0
+        alive, level = np.arange(len(pairs)), 0
         while len(alive):
             level += 1
-            for probe in range(PROBES):
-                own = shard[alive]
-                at = self.starts[own] + _bit(pairs[alive], level, probe, self.sizes[own])
-                hit = self.bits[(at >> np.uint64(3)).astype(np.int64)] >> (np.uint8(7) - (at & np.uint64(7)).astype(np.uint8)) & 1
-                alive = alive[hit.astype(bool)]
-                if not len(alive):
-                    break
+            at, step = _walk(pairs[alive], level)
+            starts, sizes = self.starts[shard[alive]], self.sizes[shard[alive]]
+            for _ in range(PROBES):
+                bit = starts + at % sizes
+                byte = self.bits[(bit >> np.uint64(3)).astype(np.int64)]
+                hit = np.flatnonzero(byte & (np.uint8(128) >> (bit & np.uint64(7)).astype(np.uint8)))
+                alive, at, step, starts, sizes = alive[hit], at[hit] + step[hit], step[hit], starts[hit], sizes[hit]
             found[alive] = level
         return found
 
@@ -275,10 +276,11 @@ def _scorer(total: int, distinct: int, known: object, shards: int):
         ids, bodies, out = texts["doc_id"].to_pylist(), texts["text"].to_pylist(), []
         for lo, hi in slices(bodies, SLICE_BYTES):
             found, begins = tokens(bodies[lo:hi])
-            at = np.searchsorted(words, found)
-            if len(found) and (at.max() >= len(words) or (words[at] != found).any()):
+            own, place = np.unique(found, return_inverse=True)
+            at = np.searchsorted(words, own)
+            if at[-1] >= len(words) or (words[at] != own).any():
                 raise RuntimeError("a chunk misses counts of its words: the input's partitions changed between two reads")
-            count = counts[at]
+            count = counts[at][place]
             unigram = (count + 0.5) / (total + 0.5 * (distinct + 1))
             follows = np.ones(len(found), bool)
             follows[begins] = False
