@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tripstrata.operators.rules import VIOLATIONS, is_compliant, violation_counts
 from tripstrata.operators.zones import UNKNOWN
+from tripstrata.schemas import METRIC_RECORD
 
 # Cadence and overall texts; metric, definition, threshold text, unit, and the test of `current_value`.
 CADENCE = "Every pipeline run"
@@ -41,23 +42,29 @@ def percent(part: str, whole: str) -> Column:
     return F.coalesce(share, F.lit(0.0))
 
 
-def silver_measures(trips: DataFrame) -> DataFrame:
-    """One row: all rows, compliant rows and the violation counts, in one pass."""
-    return trips.agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        F.count_if(is_compliant()).alias("compliant_rows"),
-        *violation_counts(),
-    )
+def silver_columns() -> list[Column]:
+    """All rows, compliant rows and the violation counts, as additive aggregates."""
+    return [F.count(F.lit(1)).alias("total_rows"), F.count_if(is_compliant()).alias("compliant_rows"), *violation_counts()]
 
 
-def gold_measures(zone_metrics: DataFrame) -> DataFrame:
-    """One row: all rows, rows with a mapped zone, rows whose zone is unknown."""
+def gold_columns() -> list[Column]:
+    """All rows, rows with a mapped zone, rows whose zone is unknown, as additive aggregates."""
     mapped = (F.col("borough") != UNKNOWN) & (F.col("zone") != UNKNOWN)
-    return zone_metrics.agg(
+    return [
         F.count(F.lit(1)).alias("total_rows"),
         F.count_if(mapped).alias("mapped_rows"),
         F.count_if(F.col("zone") == UNKNOWN).alias("unmatched_zone_rows"),
-    )
+    ]
+
+
+def silver_measures(trips: DataFrame) -> DataFrame:
+    """One row with the counts over all silver trips, in one pass."""
+    return trips.agg(*silver_columns())
+
+
+def gold_measures(zone_metrics: DataFrame) -> DataFrame:
+    """One row with the counts over the gold zone table."""
+    return zone_metrics.agg(*gold_columns())
 
 
 def rule_violations(trips: DataFrame) -> DataFrame:
@@ -163,14 +170,32 @@ def _describe(values: DataFrame) -> DataFrame:
     )
 
 
+def metric_records(metrics: DataFrame) -> DataFrame:
+    """The metrics as the report stores them: violations, where a metric has them, are its details."""
+    details = F.when(F.col("violations").isNotNull(), F.struct("violations"))
+    return metrics.withColumn("details", details).select(*METRIC_RECORD.names)
+
+
+def reported_metrics(report: DataFrame, records: str) -> DataFrame:
+    """The metrics of a stored report, one row each, as `quality_metrics` gives them."""
+    return report.select(F.inline(records)).withColumn("violations", F.col("details.violations")).drop("details")
+
+
+def reported_status(report: DataFrame, records: str) -> DataFrame:
+    """`quality_status` of a stored report's metrics, with the overall status beside every line."""
+    overall = F.when(F.forall(records, lambda r: r["meets_threshold"]), ALL_PASS).otherwise(SOME_FAIL)
+    lines = report.select(overall.alias("overall_status"), F.inline(records))
+    return quality_status(lines, "overall_status")
+
+
 def missing_metrics(metrics: DataFrame) -> DataFrame:
     """`metric_name` of every promised metric the given metrics lack."""
     promised = metrics.sparkSession.createDataFrame([(name,) for name in METRICS], "metric_name string")
     return promised.join(metrics, "metric_name", "left_anti")
 
 
-def quality_status(metrics: DataFrame) -> DataFrame:
-    """Report lines: title, PASS or FAIL, and the value with its unit."""
+def quality_status(metrics: DataFrame, *also: str) -> DataFrame:
+    """Report lines: title, PASS or FAIL, and the value with its unit; other columns as asked for."""
     whole = F.col("unit") == "rows"
     number = F.when(whole, F.col("current_value").cast("bigint").cast("string")).otherwise(
         F.col("current_value").cast("string")
@@ -180,6 +205,7 @@ def quality_status(metrics: DataFrame) -> DataFrame:
         F.when(F.col("meets_threshold"), "PASS").otherwise("FAIL").alias("status"),
         F.concat_ws(" ", F.coalesce(number, F.lit("None")), F.col("unit")).alias("value_text"),
         F.col("expected_threshold").alias("threshold_text"),
+        *also,
     )
 
 

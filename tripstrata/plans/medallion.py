@@ -6,31 +6,35 @@ touched (service, year, month) lists and one-row measures.
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import UTC, datetime
 from functools import reduce
 
-from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripstrata.operators.dedup import deduplicate
 from tripstrata.operators.metrics import monthly_zone_metrics, payment_type_metrics, trip_rollup
-from tripstrata.operators.quality import (
-    critical_checks,
-    data_freshness,
-    gold_measures,
-    quality_metrics,
-    silver_measures,
-)
+from tripstrata.operators.quality import critical_checks, data_freshness, metric_records, quality_metrics
 from tripstrata.operators.rules import VIOLATIONS, failed_rules, is_compliant, keep_compliant
 from tripstrata.operators.standardize import standardize
 from tripstrata.operators.zones import zone_lookup
-from tripstrata.schemas import BRONZE_SCHEMA, MONTH_COLUMNS, PARTITION_COLUMNS, REJECTED_SCHEMA, SILVER_SCHEMA
+from tripstrata.plans.measures import store_measures, totals_of
+from tripstrata.schemas import (
+    BRONZE_SCHEMA,
+    MONTH_COLUMNS,
+    PARTITION_COLUMNS,
+    PRODUCT_REPORT_SCHEMA,
+    REJECTED_SCHEMA,
+    REPORT_SCHEMA,
+    ROLLUP_SCHEMA,
+    SILVER_SCHEMA,
+)
+from tripstrata.sources import catalog, trip_files
 from tripstrata.sources import layers as tables
-from tripstrata.sources import trip_files
 from tripstrata.sources.layers import Layers, Partition
 from tripstrata.sources.scope import Scope, in_scope, out_of_scope
 
@@ -81,31 +85,35 @@ def store_monthly_files(
     layers: Layers,
     default_year: int,
     default_month: int,
+    known: trip_files.Schemas | None = None,
 ) -> list[Partition]:
     """Replace the bronze months that the files, given as (service, year, month, path), belong to."""
     files = list(files)
     touched = sorted({(service, year, month) for service, year, month, _ in files})
     if files:
         found = [(service, path) for service, _, _, path in files]
-        trips = trip_files.scan_trips(spark, found, default_year, default_month)
-        write_bronze(trips, layers, touched)
+        trips = trip_files.scan_trips(spark, found, default_year, default_month, known)
+        write_bronze(tables.evenly_by_partition(trips, PARTITION_COLUMNS), layers, touched)
     return touched
 
 
 def build_bronze(
     spark: SparkSession, files: DataFrame, scope: Scope, layers: Layers
 ) -> BronzeResult:
-    """Store the monthly files of the scope; `files` is a listing. Only files in scope are opened."""
+    """Store the monthly files of the scope; `files` is a listing. Only files in scope are opened, and only the
+    footers of those that the catalogue lacks."""
     year, month = scope.years[0], scope.months[0]
     listed = trip_files.monthly_files(files, year, month)
     grid = scope.grid(spark)
+    parts = in_scope(trip_files.monthly_parts(files, year, month), grid)
+    known = catalog.file_schemas(spark, files.join(parts.select("path"), "path", "left_semi"), layers.file_catalog)
     chosen = [
         (row.service_type, row.pickup_year, row.pickup_month, row.path)
-        for row in in_scope(trip_files.monthly_parts(files, year, month), grid).collect()
+        for row in parts.collect()
     ]
     processed = in_scope(listed, grid).count()
     skipped = out_of_scope(listed, grid).count()
-    touched = store_monthly_files(spark, chosen, layers, year, month)
+    touched = store_monthly_files(spark, chosen, layers, year, month, known)
     return BronzeResult(processed, skipped, touched)
 
 
@@ -157,56 +165,76 @@ def write_gold(table: DataFrame, path: str) -> tables.Written:
     return tables.overwrite_partitions(by_month, path, MONTH_COLUMNS)
 
 
-def build_gold(spark: SparkSession, layers: Layers, months: list[tuple[int, int]]) -> GoldResult:
+def rollups_to_build(spark: SparkSession, layers: Layers, months: list[tuple[int, int]], touched: Iterable[Partition]) -> list[Partition]:
+    """The touched partitions, and partitions of the months that have silver rows but no stored rollup."""
+    of_months = tables.one_of(MONTH_COLUMNS, months)
+    have = tables.stored_partitions(spark, layers.trip_rollup, PARTITION_COLUMNS, ROLLUP_SCHEMA)
+    silver = tables.stored_partitions(spark, layers.silver_trips, PARTITION_COLUMNS, SILVER_SCHEMA)
+    lacking = silver.filter(of_months).join(have, list(PARTITION_COLUMNS), "left_anti")
+    return sorted({tuple(row) for row in lacking.select(*PARTITION_COLUMNS).collect()} | set(touched))
+
+
+def rollup_of(spark: SparkSession, layers: Layers, partitions: list[Partition]) -> DataFrame:
+    """The rollup of silver partitions; only they are read."""
+    trips = tables.read_silver(spark, layers).filter(tables.one_of(PARTITION_COLUMNS, partitions))
+    return trip_rollup(trips).select(*ROLLUP_SCHEMA.names)
+
+
+def build_gold(
+    spark: SparkSession, layers: Layers, months: list[tuple[int, int]], touched: Iterable[Partition] | None = None
+) -> GoldResult:
     """Rebuild both gold tables for whole months, all services together.
 
-    Trips are scanned once: both tables derive from the small rollup, which is kept until both are
-    written. A month without silver rows keeps its earlier gold rows.
+    Both tables derive from an additive rollup that is stored per service and month. Only the rollups of `touched`
+    (default: all partitions of the months) are made from trips; those of the other services are read as stored.
+    A month without silver rows keeps its earlier gold rows.
     """
     if not months:
         return GoldResult(0, 0)
-    trips = tables.read_silver(spark, layers).filter(tables.one_of(MONTH_COLUMNS, months))
+    if touched is None:
+        there = tables.stored_partitions(spark, layers.silver_trips, PARTITION_COLUMNS, SILVER_SCHEMA)
+        kept = tables.stored_partitions(spark, layers.trip_rollup, PARTITION_COLUMNS, ROLLUP_SCHEMA)
+        both = there.union(kept).filter(tables.one_of(MONTH_COLUMNS, months)).distinct()
+        touched = [tuple(row) for row in both.select(*PARTITION_COLUMNS).collect()]
+    rebuilt = rollups_to_build(spark, layers, months, touched)
+    rows = tables.evenly_by_partition(rollup_of(spark, layers, rebuilt), PARTITION_COLUMNS)
+    tables.replace_trip_partitions(rows, layers.trip_rollup, ROLLUP_SCHEMA, rebuilt)
     zones = zone_lookup(tables.read_zones(spark, layers))
-    rollup = trip_rollup(trips).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        by_zone = write_gold(monthly_zone_metrics(rollup, zones), layers.zone_metrics)
-        by_payment = write_gold(payment_type_metrics(rollup), layers.payment_metrics)
-    finally:
-        rollup.unpersist()
+    rollup = tables.read_rollup(spark, layers).filter(tables.one_of(MONTH_COLUMNS, months))
+    by_zone = write_gold(monthly_zone_metrics(rollup, zones), layers.zone_metrics)
+    by_payment = write_gold(payment_type_metrics(rollup), layers.payment_metrics)
     return GoldResult(by_zone.row_count, by_payment.row_count)
 
 
-def _write_json(spark: SparkSession, content: dict, path: str) -> None:
-    text = spark.createDataFrame([(json.dumps(content),)], "value string")
-    text.coalesce(1).write.mode("overwrite").text(path)
+def _write_report(report: DataFrame, path: str) -> None:
+    """One row as one JSON document."""
+    report.coalesce(1).write.mode("overwrite").json(path)
 
 
-def validate(spark: SparkSession, layers: Layers) -> dict:
+def validate(spark: SparkSession, layers: Layers, touched: Iterable[Partition] | None = None) -> dict:
     """Check all stored layers, write metrics and report, then raise if a critical check failed.
 
-    One aggregate per table; the driver receives single rows.
+    The measures of each partition are stored. Given the `touched` (service, year, month), only they are measured
+    again, and the checks still cover everything: the stored measures of the rest are summed. Without it all
+    partitions are measured, which is needed after a table was changed by other means.
     """
-    gold_table = tables.read_zone_metrics(spark, layers)
-    counts = {
-        "bronze_rows": tables.read_bronze(spark, layers).count(),
-        "bronze_zone_rows": tables.read_zones(spark, layers).count(),
-        "gold_payment_rows": tables.read_payment_metrics(spark, layers).count(),
-    }
-    silver = _one_row(silver_measures(tables.read_silver(spark, layers)))
-    gold = _one_row(gold_measures(gold_table))
+    store_measures(spark, layers, touched)
+    rows, silver, gold = totals_of(spark, layers)
     product_files = trip_files.list_files(spark, layers.zone_metrics).unionByName(
         trip_files.list_files(spark, layers.validation_report, names="part-*")
     )
-    metrics = quality_metrics(silver, gold, data_freshness(product_files)).collect()
+    metrics = metric_records(quality_metrics(silver, gold, data_freshness(product_files))).collect()
     checks = {row.check_name: row.passed for row in critical_checks(silver, gold).collect()}
     on_silver, on_gold = silver.first(), gold.first()
-    described = [_metric_record(row.asDict()) for row in metrics]
+    described = [row.asDict(recursive=True) for row in metrics]
     report = {
         "generated_at_utc": datetime.now(UTC).isoformat(),
         "row_counts": {
-            **counts,
-            "silver_rows": on_silver.total_rows,
-            "gold_monthly_rows": on_gold.total_rows,
+            "bronze_rows": rows["bronze"],
+            "bronze_zone_rows": tables.read_zones(spark, layers).count(),
+            "gold_payment_rows": rows["gold_payments"],
+            "silver_rows": rows["silver"],
+            "gold_monthly_rows": rows["gold_zones"],
         },
         "silver_rule_violations": {name: on_silver[name] for name in VIOLATIONS},
         "gold_unmatched_zone_rows": on_gold.unmatched_zone_rows,
@@ -220,23 +248,30 @@ def validate(spark: SparkSession, layers: Layers) -> dict:
         "supporting_dataset": ["gold.payment_type_metrics"],
         "metrics": described,
     }
-    _write_json(spark, product, layers.quality_metrics)
-    _write_json(spark, report, layers.validation_report)
+    _write_report(spark.createDataFrame([product], PRODUCT_REPORT_SCHEMA), layers.quality_metrics)
+    _write_report(spark.createDataFrame([report], REPORT_SCHEMA), layers.validation_report)
     if not all(checks.values()):
         raise DataQualityError(f"Critical checks failed; see {layers.validation_report}")
     return report
 
 
-def _one_row(measures: DataFrame) -> DataFrame:
-    """A one-row aggregate, computed once and reused by several small results."""
-    return measures.sparkSession.createDataFrame([measures.first()], measures.schema)
+def read_report(spark: SparkSession, layers: Layers) -> DataFrame:
+    """The stored validation report under its fixed schema: one row. Stops when no report has been written."""
+    return _read_json(spark, layers.validation_report, REPORT_SCHEMA)
+
 
+def read_product_report(spark: SparkSession, layers: Layers) -> DataFrame:
+    """The stored metrics of the data product under their fixed schema: one row."""
+    return _read_json(spark, layers.quality_metrics, PRODUCT_REPORT_SCHEMA)
 
-def _metric_record(row: dict) -> dict:
-    violations = row.pop("violations")
-    if row["unit"] == "rows":
-        row["current_value"] = int(row["current_value"])
-    return row if violations is None else {**row, "details": {"violations": violations}}
+
+def _read_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    try:
+        return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raise FileNotFoundError(f"No report at {path}; run the validation first") from error
 
 
 def run_batch(
@@ -250,5 +285,6 @@ def run_batch(
     write_zone_lookup(trip_files.read_zone_lookup(spark, zone_csv), layers)
     silver = build_silver(spark, layers, bronze.touched_partitions)
     build_rejects(spark, layers, bronze.touched_partitions)
-    gold = build_gold(spark, layers, silver.touched_months)
-    return {"bronze": bronze, "silver": silver, "gold": gold, "validation": validate(spark, layers)}
+    gold = build_gold(spark, layers, silver.touched_months, bronze.touched_partitions)
+    validation = validate(spark, layers, bronze.touched_partitions)
+    return {"bronze": bronze, "silver": silver, "gold": gold, "validation": validation}

@@ -236,6 +236,26 @@ _PAYMENT_CONTRACT = {
     "trip_count": "bigint", "total_revenue": "double", "avg_trip_revenue": "double",
 }
 
+_REASON = """CASE WHEN NOT valid THEN 'not_json' WHEN kind <> 'OBJECT' THEN 'not_an_object'
+               WHEN event_type IS NULL THEN 'missing_event_type'
+               WHEN service_type IS NULL THEN 'missing_service_type'
+               WHEN year_text IS NULL THEN 'missing_year'
+               WHEN year IS NULL THEN 'year_not_an_integer'
+               WHEN month_text IS NULL THEN 'missing_month'
+               WHEN month IS NULL THEN 'month_not_an_integer'
+               WHEN file_path IS NULL THEN 'missing_file_path'
+               WHEN event_type <> 'new_raw_file' THEN 'unsupported_event_type'
+               WHEN service_type NOT IN ('yellow', 'green') THEN 'unsupported_service_type'
+               WHEN month NOT BETWEEN 1 AND 12 THEN 'invalid_month'
+               WHEN year NOT BETWEEN 2000 AND 2100 THEN 'invalid_year'
+               WHEN file_path = '' THEN 'empty_file_path' END"""
+
+_LATER_NAME = """concat(service_type, '_tripdata_', CAST(pickup_year + 10 AS VARCHAR), '-',
+                 lpad(CAST(pickup_month AS VARCHAR), 2, '0'), '.parquet')"""
+
+# Green Februaries keep the trips from even zones only.
+_CORRECTED = "NOT (service_type = 'green' AND pickup_month = 2 AND coalesce(pu_location_id % 2, 1) <> 0)"
+
 ORACLES: dict[str, str] = {
     "trip_duration": _with(
         _TRIPS,
@@ -325,20 +345,8 @@ ORACLES: dict[str, str] = {
     ),
     "event_validation": _with(
         _EVENTS,
-        """SELECT event_id, event_type, service_type, year, month, file_path,
-          CASE WHEN NOT valid THEN 'not_json' WHEN kind <> 'OBJECT' THEN 'not_an_object'
-               WHEN event_type IS NULL THEN 'missing_event_type'
-               WHEN service_type IS NULL THEN 'missing_service_type'
-               WHEN year_text IS NULL THEN 'missing_year'
-               WHEN year IS NULL THEN 'year_not_an_integer'
-               WHEN month_text IS NULL THEN 'missing_month'
-               WHEN month IS NULL THEN 'month_not_an_integer'
-               WHEN file_path IS NULL THEN 'missing_file_path'
-               WHEN event_type <> 'new_raw_file' THEN 'unsupported_event_type'
-               WHEN service_type NOT IN ('yellow', 'green') THEN 'unsupported_service_type'
-               WHEN month NOT BETWEEN 1 AND 12 THEN 'invalid_month'
-               WHEN year NOT BETWEEN 2000 AND 2100 THEN 'invalid_year'
-               WHEN file_path = '' THEN 'empty_file_path' END AS reject_reason
+        f"""SELECT event_id, event_type, service_type, year, month, file_path,
+          {_REASON} AS reject_reason
         FROM typed""",
     ),
     "silver_rule_violations": _with(
@@ -512,5 +520,75 @@ ORACLES: dict[str, str] = {
                  lpad(CAST(pickup_month AS VARCHAR), 2, '0'), '.parquet') AS source_file_name,
           CASE WHEN pickup_month = 1 THEN 'missing column trip_distance' ELSE 'handled' END AS outcome FROM trips""",
     ),
+    "stream_event_payloads": _with(
+        f"{_EVENTS}, judged AS (SELECT *, {_REASON} AS reject_reason FROM typed JOIN messages USING (event_id))",
+        """SELECT DISTINCT event_type, service_type, year, month, file_path, CAST(NULL AS VARCHAR) AS payload, reject_reason
+        FROM judged WHERE reject_reason IS NULL
+        UNION ALL SELECT DISTINCT NULL, NULL, NULL, NULL, NULL, payload, reject_reason FROM judged WHERE reject_reason IS NOT NULL""",
+    ),
+    "stream_missing_file": _with(
+        _TRIPS,
+        f"""SELECT {_LATER_NAME} AS source_file_name, CASE WHEN pickup_month = 1 THEN 'missing' ELSE 'handled' END AS outcome,
+          count(*) FILTER (pickup_month > 1) AS row_count FROM trips GROUP BY service_type, pickup_year, pickup_month""",
+    ),
+    "stream_file_order": _with(
+        _TRIPS,
+        f"""SELECT {_LATER_NAME} AS file_name, CAST(row_number() OVER (ORDER BY pickup_year, pickup_month) - 1 AS INTEGER) AS batch
+        FROM (SELECT DISTINCT service_type, pickup_year, pickup_month FROM trips WHERE service_type = 'green')""",
+    ),
+    "stream_crash_recovery": _with(_GOLD, _LATER.format(table="zone_metrics")),
+    "stream_three_batches": _with(
+        f"""{_SILVER}, {_ZONES},
+        good AS (SELECT * FROM silver LEFT JOIN zones ON pu_location_id = location_id WHERE {_CORRECTED})""",
+        f"""SELECT 'bronze_rows' AS name, count(*) AS counted FROM trips WHERE {_CORRECTED}
+        UNION ALL SELECT 'bronze_zone_rows', count(*) FROM zones
+        UNION ALL SELECT 'silver_rows', count(*) FROM good WHERE pickup_month <> 1
+        UNION ALL SELECT 'gold_monthly_rows', count(DISTINCT (pickup_year, pickup_month, service_type, pu_location_id)) FROM good
+        UNION ALL SELECT 'gold_payment_rows', count(DISTINCT (pickup_year, pickup_month, service_type, coalesce(payment_type, -1))) FROM good
+        UNION ALL SELECT 'gold_unmatched_zone_rows',
+          count(DISTINCT (pickup_year, pickup_month, service_type, pu_location_id)) FILTER (zone IS NULL) FROM good
+        """ + " ".join(f"UNION ALL SELECT '{name}', 0" for name in _VIOLATIONS),
+    ),
+    "file_catalog": _with(
+        _TRIPS,
+        """SELECT CAST(run AS INTEGER) AS run, source_file_name FROM (SELECT DISTINCT source_file_name, pickup_month FROM trips),
+          (VALUES (0), (1), (3)) AS runs(run) WHERE run < 3 OR pickup_month = 1""",
+    ),
+    "product_freshness": _with(
+        f"{_SILVER}, months AS (SELECT DISTINCT pickup_year, make_date(pickup_year, pickup_month, 1)::TIMESTAMP AS dated FROM silver)",
+        """SELECT part, round(date_diff('microsecond', (SELECT max(dated) FROM months
+            WHERE part = 'table' OR part = CAST(pickup_year AS VARCHAR)), TIMESTAMP '2030-01-01 00:00:00') / 3.6e9, 4) AS data_freshness_hours
+        FROM (VALUES ('table'), ('1996'), ('nothing')) AS parts(part)""",
+    ),
+    "stored_report_status": _with(
+        _METRICS,
+        """SELECT CASE metric_name WHEN 'zone_mapping_completeness' THEN 'Zone Mapping Completeness'
+                  WHEN 'gold_row_count' THEN 'Gold Row Count' ELSE 'Silver Rule Compliance' END AS metric_title,
+          CASE WHEN meets_threshold THEN 'PASS' ELSE 'FAIL' END AS status,
+          concat(CASE WHEN unit = 'rows' THEN CAST(CAST(current_value AS BIGINT) AS VARCHAR)
+                      ELSE CAST(current_value AS VARCHAR) END, ' ', unit) AS value_text,
+          expected_threshold AS threshold_text,
+          CASE WHEN bool_and(meets_threshold) OVER () THEN 'ALL METRICS PASS'
+               ELSE 'SOME METRICS NEED ATTENTION' END AS overall_status FROM judged
+        UNION ALL SELECT 'Data Freshness Hours', 'PASS', NULL, '< 168',
+          CASE WHEN bool_and(meets_threshold) THEN 'ALL METRICS PASS' ELSE 'SOME METRICS NEED ATTENTION' END FROM judged""",
+    ),
+    "stored_contract": _with(
+        _GOLD,
+        """SELECT DISTINCT pickup_year, pickup_month, 'type' AS problem, 'trip_count' AS column_name, 'bigint' AS expected_type,
+          'string' AS actual_type, CAST(1 AS BIGINT) AS row_count FROM zone_metrics WHERE pickup_year = 1996 AND pickup_month = 3
+        UNION ALL SELECT DISTINCT pickup_year, pickup_month, 'missing', 'total_revenue', 'double', NULL, 1
+          FROM zone_metrics WHERE pickup_year = 1996 AND pickup_month = 3
+        UNION ALL SELECT pickup_year, pickup_month, 'repeated', NULL, NULL, NULL, count(*)
+          FROM zone_metrics WHERE pickup_year = 1997 AND pickup_month = 5 GROUP BY ALL""",
+    ),
+    "gold_from_rollups": _with(
+        _GOLD.replace(
+            "FROM trips)",
+            "FROM (SELECT * REPLACE (CASE WHEN service_type = 'yellow' AND pickup_month <= 6 THEN 7.5 ELSE total_amount END"
+            " AS total_amount) FROM trips))",
+        ),
+        "SELECT * FROM zone_metrics",
+    ),
     "stream_idempotent_replay": _with(_GOLD, _LATER.format(table="payment_metrics")),
 }

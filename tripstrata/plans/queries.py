@@ -5,8 +5,12 @@ A query is called with (spark, folder of the parquet tables) and returns a DataF
 
 from __future__ import annotations
 
+import contextlib
+import functools
 from collections.abc import Callable
+from datetime import UTC, datetime
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,12 +18,16 @@ from tripstrata.functions.trips import record_hash
 from tripstrata.operators import dedup, metrics, product, quality, rules
 from tripstrata.operators.standardize import standardize
 from tripstrata.operators.zones import zone_lookup
+from tripstrata.plans.contract import contract_violations
 from tripstrata.plans.medallion import (
     build_bronze,
     build_gold,
     build_rejects,
     build_silver,
+    read_product_report,
+    read_report,
     silver_from_standard,
+    validate,
     write_bronze,
     write_gold,
     write_zone_lookup,
@@ -29,10 +37,11 @@ from tripstrata.schemas import (
     PARTITION_COLUMNS,
     PAYMENT_METRICS_SCHEMA,
     SERVICES,
+    ZONE_GRAIN,
     ZONE_METRICS_SCHEMA,
 )
+from tripstrata.sources import catalog, star_trips, trip_files
 from tripstrata.sources import layers as tables
-from tripstrata.sources import star_trips, trip_files
 from tripstrata.sources.layers import Layers
 from tripstrata.sources.scope import (
     Scope,
@@ -41,8 +50,8 @@ from tripstrata.sources.scope import (
     scope_grid,
     services_without_files,
 )
-from tripstrata.sources.workdir import work_dir
-from tripstrata.streaming import events
+from tripstrata.sources.workdir import set_file_times, work_dir
+from tripstrata.streaming import arrivals, events, payloads
 from tripstrata.streaming.arrivals import start_arrivals
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -509,6 +518,179 @@ def stream_redelivery(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _announced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`payload`: an event for every monthly file that the trips make, with the path relative to the landing folder."""
+    names = star_trips.raw_trips(spark, sf_dir, STREAM_YEARS_LATER).select("service_type", "source_file_name").distinct()
+    year, month = trip_files.file_period(F.col("source_file_name"), 2000, 1)
+    event = F.struct(
+        F.lit(events.NEW_FILE).alias("event_type"), "service_type", year.alias("year"), month.alias("month"),
+        F.concat(F.lit("incoming/source_file_name="), "source_file_name").alias("file_path"),
+    )
+    return names.select(F.to_json(event).alias("payload"))
+
+
+def stream_event_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages as text files, all sent twice and the query restarted between: each is taken once."""
+    root = work_dir(spark, "payloads")
+    layers = Layers(f"{root}/layers")
+    messages = star_trips.event_messages(spark, sf_dir).select("payload")
+    for round_ in ("first", "again"):
+        messages.write.text(f"{root}/messages/{round_}")
+        payloads.start_messages(spark, f"{root}/messages", layers, f"{root}/checkpoint").awaitTermination()
+    nothing = F.lit(None).cast("string")
+    accepted = payloads.read_accepted(spark, layers).drop("query", "batch").withColumns({"payload": nothing, "reject_reason": nothing})
+    rejected = payloads.read_rejected(spark, layers).drop("query", "batch")
+    return accepted.unionByName(rejected, allowMissingColumns=True)
+
+
+def stream_missing_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events for every monthly file, of which January's are in neither folder, and odd months' were moved before."""
+    root = work_dir(spark, "stream-missing")
+    layers, lookup = Layers(f"{root}/layers"), f"{root}/taxi_zone_lookup.csv"
+    star_trips.land_zones(spark, sf_dir, lookup)
+    month = F.substring_index(F.substring_index("source_file_name", ".", 1), "-", -1).cast("int")
+    for service in SERVICES:
+        trips = star_trips.raw_service_trips(spark, sf_dir, service, STREAM_YEARS_LATER).filter(month > 1)
+        star_trips.land_files(trips.filter(month % 2 == 0), f"{root}/incoming")
+        star_trips.land_files(trips.filter(month % 2 == 1), f"{root}/archive{arrivals.plain(root)}/incoming")
+    _announced(spark, sf_dir).write.text(f"{root}/messages")
+    build = payloads.month_builder(f"{root}/incoming", f"{root}/archive", lookup, layers, root)
+    payloads.start_messages(spark, f"{root}/messages", layers, f"{root}/checkpoint", handle=build).awaitTermination()
+    failed = spark.read.schema("path string, reason string").parquet(layers.failed_files)
+    lost = failed.select(events.file_name_of(F.col("path")).alias("source_file_name"), F.col("reason").alias("outcome"), F.lit(0).cast("bigint").alias("row_count"))
+    stored = tables.read_bronze(spark, layers).groupBy("source_file_name").agg(F.lit("handled").alias("outcome"), F.count(F.lit(1)).alias("row_count"))
+    return lost.unionByName(stored)
+
+
+def stream_file_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The green service's files published one a batch, the oldest first; half of them before a restart."""
+    root = work_dir(spark, "stream-order")
+    layers = Layers(f"{root}/layers")
+    trips = star_trips.raw_service_trips(spark, sf_dir, "green", STREAM_YEARS_LATER)
+    trips = trips.groupBy("source_file_name").agg(F.count(F.lit(1)).alias("trips"))
+    year = F.substring_index(F.substring_index("source_file_name", "-", 1), "_", -1).cast("int")
+    for half in (year < 2008, year >= 2008):
+        star_trips.land_files(trips.filter(half).coalesce(1), f"{root}/incoming")
+        set_file_times(spark, f"{root}/incoming", lambda path: 1_000 * int(path.split("_tripdata_")[1][:7].replace("-", "")))
+        payloads.start_publisher(spark, f"{root}/incoming", layers, f"{root}/checkpoint").awaitTermination()
+    payloads.start_publisher(spark, f"{root}/incoming", layers, f"{root}/checkpoint").awaitTermination()
+    return payloads.read_published(spark, layers).select("file_name", "batch")
+
+
+def stream_crash_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold of a stream whose batch fails between silver and gold, and is started again from its checkpoint."""
+    root = _landed(spark, sf_dir, "stream-crash", STREAM_YEARS_LATER)
+    layers = Layers(f"{root}/layers")
+    arguments = (spark, f"{root}/raw", f"{root}/taxi_zone_lookup.csv", layers, f"{root}/checkpoint")
+
+    def fail(layer: str) -> None:
+        if layer == "silver":
+            raise RuntimeError("stopped between silver and gold")
+
+    with contextlib.suppress(StreamingQueryException):
+        start_arrivals(*arguments, after=fail).awaitTermination()
+    if not tables.stored_partitions(spark, layers.zone_metrics, MONTH_COLUMNS, ZONE_METRICS_SCHEMA).isEmpty():
+        raise RuntimeError("the first run was to stop before gold")
+    start_arrivals(*arguments).awaitTermination()
+    return tables.read_zone_metrics(spark, layers)
+
+
+def stream_three_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored report after three batches (all files, Januaries again with bad amounts, green Februaries corrected).
+
+    Each batch measures its own partitions; the report is the one that measuring everything would give.
+    """
+    root = _landed(spark, sf_dir, "stream-measures", STREAM_YEARS_LATER)
+    layers = Layers(f"{root}/layers")
+    for k in range(3):
+        if k == 1:
+            for service in SERVICES:
+                trips = star_trips.raw_service_trips(spark, sf_dir, service, STREAM_YEARS_LATER)
+                star_trips.land_files(trips.filter("source_file_name LIKE '%-01.parquet'").withColumn("total_amount", F.lit(-1.0)), f"{root}/raw/second")
+        if k == 2:
+            trips = star_trips.raw_service_trips(spark, sf_dir, "green", STREAM_YEARS_LATER)
+            star_trips.land_files(trips.filter("source_file_name LIKE '%-02.parquet' AND PULocationID % 2 = 0"), f"{root}/raw/third")
+        start_arrivals(spark, f"{root}/raw", f"{root}/taxi_zone_lookup.csv", layers, f"{root}/checkpoint").awaitTermination()
+    report = read_report(spark, layers)
+    counts = report.select(F.explode("row_counts").alias("name", "counted"))
+    violations = report.select(F.explode("silver_rule_violations").alias("name", "counted"))
+    return counts.unionByName(violations).unionByName(report.select(F.lit("gold_unmatched_zone_rows").alias("name"), F.col("gold_unmatched_zone_rows").alias("counted")))
+
+
+# Files and stored reports ---------------------------------------------------------------------
+
+
+def file_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files whose footers each of three runs reads: all; none, as nothing changed; Januaries that came again."""
+    root = _landed(spark, sf_dir, "catalog")
+    store, name = f"{root}/catalog", events.file_name_of(F.col("path")).alias("source_file_name")
+    found = []
+    for run in (1, 2, 3):
+        if run == 3:
+            for service in SERVICES:
+                star_trips.land_files(_corrected(star_trips.raw_service_trips(spark, sf_dir, service)), f"{root}/raw/again/{service}")
+        read = catalog.update_catalog(spark, trip_files.list_files(spark, f"{root}/raw"), store)
+        found.append(spark.createDataFrame([(run, path) for path in read], "run int, path string").select("run", name))
+    entries = catalog.read_catalog(spark, store).select(F.lit(0).alias("run"), name)
+    return entries.unionByName(functools.reduce(DataFrame.unionByName, found)).distinct()
+
+
+def _dated_gold(spark: SparkSession, sf_dir: str, label: str) -> str:
+    """The gold table by month in a fresh folder, its files dated to the first of their month."""
+    path = f"{work_dir(spark, label)}/zone_metrics"
+    write_gold(_zone_metrics(spark, sf_dir), path)
+
+    def first_of_month(file: str) -> int:
+        year, month = (int(file.split(f"{key}=")[1].split("/")[0]) for key in MONTH_COLUMNS)
+        return int(datetime(year, month, 1, tzinfo=UTC).timestamp() * 1000)
+
+    set_file_times(spark, path, first_of_month)
+    return path
+
+
+def product_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hours from the newest file of a written gold table to a given instant: all of it, one year, and no files at all."""
+    path = _dated_gold(spark, sf_dir, "freshness")
+    now = F.lit("2030-01-01 00:00:00").cast("timestamp")
+    parts = {"table": path, "1996": f"{path}/pickup_year=1996", "nothing": f"{path}/pickup_year=1066"}
+    hours = [quality.data_freshness(trip_files.list_files(spark, folder, names="part-*"), now).select(F.lit(part).alias("part"), "*") for part, folder in parts.items()]
+    return functools.reduce(DataFrame.unionByName, hours)
+
+
+def stored_report_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Status lines and overall status, read from the report that a validation wrote; without the value of freshness."""
+    layers = _stored_layers(spark, sf_dir, "report")
+    validate(spark, layers)
+    lines = quality.reported_status(read_product_report(spark, layers), "metrics")
+    value = F.when(F.col("metric_title") != "Data Freshness Hours", F.col("value_text"))
+    return lines.withColumn("value_text", value)
+
+
+def stored_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored gold table of which one month has other types and one came twice."""
+    path = f"{work_dir(spark, 'contract')}/zone_metrics"
+    gold = _zone_metrics(spark, sf_dir).persist()
+    try:
+        write_gold(gold, path)
+        drifted = gold.filter("pickup_year = 1996 AND pickup_month = 3").withColumn("trip_count", F.col("trip_count").cast("string"))
+        write_gold(drifted.drop("total_revenue"), path)
+        doubled = gold.filter("pickup_year = 1997 AND pickup_month = 5")
+        doubled.coalesce(1).write.mode("append").partitionBy(*MONTH_COLUMNS).parquet(path)
+    finally:
+        gold.unpersist()
+    return contract_violations(spark, path, ZONE_METRICS_SCHEMA, MONTH_COLUMNS, ZONE_GRAIN)
+
+
+def gold_from_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold after the yellow service's first halves of years came again with other amounts, green trips not read again."""
+    layers = _stored_layers(spark, sf_dir, "rollups")
+    again = star_trips.bronze_trips(spark, sf_dir).filter("service_type = 'yellow' AND pickup_month <= 6")
+    written = write_bronze(again.withColumn("total_amount", F.lit(7.5)), layers, [])
+    silver = build_silver(spark, layers, sorted(written.partitions))
+    build_gold(spark, layers, silver.touched_months, sorted(written.partitions))
+    return tables.read_zone_metrics(spark, layers)
+
+
 def stream_failed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """January files lack a column the rules need: they are recorded, and all other months are handled."""
     root = work_dir(spark, "stream-failed")
@@ -576,4 +758,14 @@ QUERIES: dict[str, Query] = {
     "stream_idempotent_replay": stream_idempotent_replay,
     "stream_redelivery": stream_redelivery,
     "stream_failed_files": stream_failed_files,
+    "stream_event_payloads": stream_event_payloads,
+    "stream_missing_file": stream_missing_file,
+    "stream_file_order": stream_file_order,
+    "stream_crash_recovery": stream_crash_recovery,
+    "stream_three_batches": stream_three_batches,
+    "file_catalog": file_catalog,
+    "product_freshness": product_freshness,
+    "stored_report_status": stored_report_status,
+    "stored_contract": stored_contract,
+    "gold_from_rollups": gold_from_rollups,
 }

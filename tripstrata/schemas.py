@@ -6,9 +6,11 @@ from dataclasses import dataclass
 
 from pyspark.sql.types import (
     ArrayType,
+    BooleanType,
     DoubleType,
     IntegerType,
     LongType,
+    MapType,
     StringType,
     StructField,
     StructType,
@@ -111,11 +113,54 @@ ZONE_METRICS_SCHEMA = _struct(
     "avg_trip_distance double, avg_trip_duration_minutes double, total_passengers bigint"
 )
 
+ZONE_GRAIN = (*MONTH_COLUMNS, "service_type", "pu_location_id")
+
 PAYMENT_METRICS_SCHEMA = _struct(
     "pickup_year int, pickup_month int, service_type string, payment_type int, "
     "trip_count bigint, total_revenue double, avg_trip_revenue double"
 )
 
+# The additive rollup behind both gold tables.
+ROLLUP_SCHEMA = _struct(
+    "pu_location_id int, payment_type int, trips bigint, revenue_sum double, distance_sum double, duration_sum bigint, "
+    "revenue_rows bigint, distance_rows bigint, duration_rows bigint, passengers bigint, "
+    "service_type string, pickup_year int, pickup_month int"
+)
+
 FILE_EVENT_SCHEMA = _struct(
     "event_type string, service_type string, year int, month int, file_path string"
 )
+
+# The stored reports: counts and checks by name, and one record per metric with details where it has any.
+_COUNTS = MapType(StringType(), LongType())
+METRIC_RECORD = StructType(
+    [
+        StructField("metric_name", StringType()),
+        StructField("metric_definition", StringType()),
+        StructField("current_value", DoubleType()),
+        StructField("expected_threshold", StringType()),
+        StructField("update_cadence", StringType()),
+        StructField("unit", StringType()),
+        StructField("meets_threshold", BooleanType()),
+        StructField("details", StructType([StructField("violations", _COUNTS)])),
+    ]
+)
+REPORT_SCHEMA = StructType(
+    [
+        StructField("generated_at_utc", StringType()),
+        StructField("row_counts", _COUNTS),
+        StructField("silver_rule_violations", _COUNTS),
+        StructField("gold_unmatched_zone_rows", LongType()),
+        StructField("critical_checks", MapType(StringType(), BooleanType())),
+        StructField("data_product_quality_metrics", ArrayType(METRIC_RECORD)),
+        StructField("data_product_quality_metrics_path", StringType()),
+    ]
+)
+PRODUCT_REPORT_SCHEMA = StructType(
+    [
+        StructField("generated_at_utc", StringType()),
+        StructField("primary_data_product", StringType()),
+        StructField("supporting_dataset", ArrayType(StringType())),
+        StructField("metrics", ArrayType(METRIC_RECORD)),
+    ]
+)

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +17,7 @@ from tripstrata.schemas import (
     PARTITION_COLUMNS,
     PAYMENT_METRICS_SCHEMA,
     REJECTED_SCHEMA,
+    ROLLUP_SCHEMA,
     SILVER_SCHEMA,
     ZONE_LOOKUP_SCHEMA,
     ZONE_METRICS_SCHEMA,
@@ -48,6 +51,30 @@ class Layers:
     def rejected_trips(self) -> str:
         return self.path("quality", "rejected_trips")
 
+    @property
+    def file_catalog(self) -> str:
+        return self.path("quality", "file_catalog")
+
+    @property
+    def partition_measures(self) -> str:
+        return self.path("quality", "partition_measures")
+
+    @property
+    def accepted_events(self) -> str:
+        return self.path("quality", "accepted_events")
+
+    @property
+    def rejected_events(self) -> str:
+        return self.path("quality", "rejected_events")
+
+    @property
+    def published_files(self) -> str:
+        return self.path("quality", "published_files")
+
+    @property
+    def trip_rollup(self) -> str:
+        return self.path("gold", "trip_rollup")
+
     @property
     def zone_metrics(self) -> str:
         return self.path("gold", "monthly_zone_metrics")
@@ -94,6 +121,10 @@ def read_rejected_trips(spark: SparkSession, layers: Layers) -> DataFrame:
     return _read(spark, layers.rejected_trips, REJECTED_SCHEMA)
 
 
+def read_rollup(spark: SparkSession, layers: Layers) -> DataFrame:
+    return _read(spark, layers.trip_rollup, ROLLUP_SCHEMA)
+
+
 def read_zone_metrics(spark: SparkSession, layers: Layers) -> DataFrame:
     return _read(spark, layers.zone_metrics, ZONE_METRICS_SCHEMA)
 
@@ -147,11 +178,15 @@ def clear_partitions(
 ) -> None:
     """Leave the given partitions empty: a dynamic overwrite never touches one without new rows."""
     columns = T.StructType([field for field in schema.fields if field.name not in keys])
-    empty = spark.createDataFrame([], columns)
-    for value in sorted(values):
+    empty = spark.createDataFrame([], columns).coalesce(1)
+
+    def clear(value: tuple) -> None:
         folder = "/".join(f"{key}={part}" for key, part in zip(keys, value))
         empty.write.mode("overwrite").parquet(f"{path}/{folder}")
 
+    with ThreadPoolExecutor(max_workers=16) as pool:  # small jobs without rows, one a partition
+        list(pool.map(clear, sorted(values)))
+
 
 def replace_trip_partitions(
     df: DataFrame, path: str, schema: T.StructType, touched: Iterable[Partition]
@@ -172,6 +207,16 @@ def evenly_by_partition(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     return df.hint("rebalance", *keys)
 
 
+def stored_partitions(spark: SparkSession, path: str, keys: tuple[str, ...], schema: T.StructType) -> DataFrame:
+    """Distinct partition values of a table that have rows; no data column is read. A table that is not there has none."""
+    try:
+        return _read(spark, path, schema).select(*keys).distinct()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema).select(*keys)
+
+
 def months_of(partitions: Iterable[Partition]) -> list[tuple[int, int]]:
     """Sorted distinct (year, month) over all services."""
     return sorted({(year, month) for _, year, month in partitions})

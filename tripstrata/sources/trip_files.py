@@ -6,8 +6,7 @@ is the folder it lies in (`<service>/<name>` or `service_type=<service>/source_f
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
@@ -19,6 +18,7 @@ from pyspark.sql import types as T
 from tripstrata.functions.trips import file_period
 from tripstrata.functions.values import typed_value
 from tripstrata.schemas import RAW_TYPES, TRIP_FIELDS, ZONE_LOOKUP_SCHEMA
+from tripstrata.sources.catalog import inferred_schema
 from tripstrata.sources.scope import Scope, services_without_files
 
 # Path of a monthly file: its own path, its service folder and its name. A folder named like a file is no service.
@@ -28,10 +28,7 @@ _MONTHLY_FILE = (
 # The name of a monthly file in the path of the file or of one of its parts.
 NAME_IN_PATH = r"(?:^|/)(?:source_file_name=)?([^/=]+\.parquet)(?:/[^/]+\.parquet)?$"
 
-# Spark's error conditions, and Parquet's own text, for a file that is no readable Parquet file.
-_UNREADABLE = re.compile("CANNOT_READ_FILE_FOOTER|FAILED_READ_FILE|UNABLE_TO_INFER_SCHEMA|is not a Parquet file")
-
-FILE_SCHEMA = "path string, modified timestamp"
+FILE_SCHEMA = "path string, modified timestamp, length bigint"
 
 
 class BadFilesError(ValueError):
@@ -47,7 +44,7 @@ def _is_missing(error: AnalysisException) -> bool:
 
 
 def list_files(spark: SparkSession, *roots: str, names: str = "*.parquet") -> DataFrame:
-    """`path` and `modified` of every file so named under the roots; a root that does not exist holds none.
+    """`path`, `modified` and `length` of every file so named under the roots; a root that does not exist holds none.
 
     The paths stay in Spark: this is the file index of a scan whose content column is not read.
     """
@@ -64,7 +61,7 @@ def list_files(spark: SparkSession, *roots: str, names: str = "*.parquet") -> Da
             if not _is_missing(error):
                 raise
             continue
-        listed = listed.unionByName(index.select("path", F.col("modificationTime").alias("modified")))
+        listed = listed.unionByName(index.select("path", F.col("modificationTime").alias("modified"), "length"))
     return listed
 
 
@@ -111,17 +108,17 @@ def _monthly_file_name() -> Column:
     )
 
 
-def _schemas(spark: SparkSession, files: list[tuple[str, str]]) -> list[T.StructType | str]:
-    """Schema of each (service, path), or why it can't be stored. Every part has its own footer read, a few at a time."""
+Schemas = Mapping[str, T.StructType | str]
+
+
+def _schemas(spark: SparkSession, files: list[tuple[str, str]], known: Schemas) -> list[T.StructType | str]:
+    """Schema of each (service, path), or why it can't be stored. Footers that `known` lacks are read a few at a time."""
 
     def schema(file: tuple[str, str]) -> T.StructType | str:
         service, path = file
-        try:
-            found = spark.read.option("recursiveFileLookup", "true").parquet(path).schema
-        except Exception as error:  # Spark tells of a bad footer by several classes, some from the JVM
-            if _UNREADABLE.search(str(error)):
-                return "unreadable"
-            raise
+        found = known[path] if path in known else inferred_schema(spark, path)
+        if isinstance(found, str):
+            return found
         names = {name.lower() for name in found.names}
         needed = [f.source[service] for f in TRIP_FIELDS if f.required and service in f.source]
         missing = [name for name in needed if name.lower() not in names]
@@ -131,10 +128,11 @@ def _schemas(spark: SparkSession, files: list[tuple[str, str]]) -> list[T.Struct
         return list(pool.map(schema, files))
 
 
-def bad_files(spark: SparkSession, files: Iterable[tuple[str, str]]) -> list[tuple[str, str]]:
+def bad_files(spark: SparkSession, files: Iterable[tuple[str, str]], known: Schemas | None = None) -> list[tuple[str, str]]:
     """(path, reason) of files, given as (service, path), that are unreadable or lack a column the rules need."""
     files = sorted(set(files))
-    return [(path, found) for (_, path), found in zip(files, _schemas(spark, files), strict=True) if isinstance(found, str)]
+    found = zip(files, _schemas(spark, files, known or {}), strict=True)
+    return [(path, schema) for (_, path), schema in found if isinstance(schema, str)]
 
 
 def _common_type(types: set[T.DataType]) -> str:
@@ -148,7 +146,11 @@ def _common_type(types: set[T.DataType]) -> str:
 
 
 def scan_trips(
-    spark: SparkSession, files: Iterable[tuple[str, str]], default_year: int, default_month: int
+    spark: SparkSession,
+    files: Iterable[tuple[str, str]],
+    default_year: int,
+    default_month: int,
+    known: Schemas | None = None,
 ) -> DataFrame:
     """Bronze rows of monthly files, or of their parts, given as (service, path).
 
@@ -156,10 +158,11 @@ def scan_trips(
     some months, double in others). So files of equal service and schema are read together, known
     columns take their bronze type, and the few reads are united by name with NULL for columns a
     file lacks. Columns outside the known ones are kept. Parts of one month may differ as files do. A file that
-    can't be read or lacks a column the rules need stops the scan before anything is written.
+    can't be read or lacks a column the rules need stops the scan before anything is written. `known` has schemas that
+    are catalogued (`catalog.file_schemas`).
     """
     files = sorted(set(files))
-    schemas = _schemas(spark, files)
+    schemas = _schemas(spark, files, known or {})
     if failures := [(path, s) for (_, path), s in zip(files, schemas, strict=True) if isinstance(s, str)]:
         raise BadFilesError(failures)
     groups: dict[tuple[str, str], tuple[T.StructType, list[str]]] = {}

@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -25,7 +26,7 @@ from tripstrata.plans.medallion import (
     write_zone_lookup,
 )
 from tripstrata.schemas import PARTITION_COLUMNS
-from tripstrata.sources import trip_files
+from tripstrata.sources import catalog, trip_files
 from tripstrata.sources.layers import Layers, one_of
 from tripstrata.streaming.events import classify_files
 
@@ -67,30 +68,49 @@ def _trip_events(events: DataFrame) -> DataFrame:
     )
 
 
-def _plain(path: str) -> str:
+def plain(path: str) -> str:
     """A path without scheme and authority."""
     return re.sub(r"^[^:/]+:(//[^/]*)?", "", path).rstrip("/")
 
 
-def _stored_files(spark: SparkSession, incoming: str, archive: str | None) -> DataFrame:
-    """Accepted files by month. Of several deliveries of a monthly file the newest holds, of equally new ones the last path.
+def _plain_path(path: Column) -> Column:
+    return F.rtrim(F.regexp_replace(path, r"^[^:/]+:(//[^/]*)?", ""), F.lit("/"))
 
-    A delivery is what arrived under one path, a file or a folder of parts, archived meanwhile or not; of parts of
-    one name the newest counts.
+
+def _deliveries(spark: SparkSession, incoming: str, archive: str | None) -> DataFrame:
+    """Accepted files in both folders: month, `path, modified, length`, the plain path each arrived under, and its delivery.
+
+    A delivery is what arrived under one path, a file or a folder of parts, archived meanwhile or not.
     """
     folders = [incoming] if archive is None else [archive, incoming]
     files = trip_files.list_files(spark, *folders)
     events = _trip_events(classify_files(files)).join(files, "path")
-    arrived_at = F.regexp_replace("path", r"^[^:/]+:(//[^/]*)?", "")
+    arrived_at = _plain_path(F.col("path"))
     if archive is not None:
-        prefix = _plain(archive)
+        prefix = plain(archive)
         arrived_at = F.when(F.startswith(arrived_at, F.lit(f"{prefix}/")), F.substring(arrived_at, len(prefix) + 1, 1_000_000)).otherwise(arrived_at)
-    parts = events.withColumns(
-        {"part": F.regexp_extract("path", r"([^/]+)$", 1), "delivery": F.regexp_replace(arrived_at, r"(\.parquet)/[^/]+\.parquet$", "$1")}
+    return events.withColumns(
+        {
+            "part": F.regexp_extract("path", r"([^/]+)$", 1),
+            "arrived_at": arrived_at,
+            "delivery": F.regexp_replace(arrived_at, r"(\.parquet)/[^/]+\.parquet$", "$1"),
+        }
     )
+
+
+def _newest(parts: DataFrame) -> DataFrame:
+    """The files that count. Of several deliveries of a monthly file the newest holds, of equally new ones the last
+    path; of parts of one name the newest."""
     key = [*PARTITION_COLUMNS, "file_name"]
     newest = parts.groupBy(*key).agg(F.max_by("delivery", F.struct("modified", "delivery")).alias("delivery"))
-    return parts.join(newest, [*key, "delivery"]).groupBy(*key, "part").agg(F.max_by("path", F.struct("modified", "path")).alias("path"))
+    last = F.max_by(F.struct("path", "modified", "length"), F.struct("modified", "path")).alias("file")
+    return parts.join(newest, [*key, "delivery"]).groupBy(*key, "part").agg(last).select(*PARTITION_COLUMNS, "file.*")
+
+
+def _gone(events: DataFrame, parts: DataFrame) -> DataFrame:
+    """Events whose file, or folder of parts, lies in neither folder: a move or removal that nobody recorded."""
+    there = parts.select(F.explode(F.array("arrived_at", "delivery")).alias("at")).distinct()
+    return events.withColumn("at", _plain_path(F.col("path"))).join(there, "at", "left_anti").drop("at")
 
 
 def _record(rows: DataFrame, table: str, arrived: list[str]) -> None:
@@ -106,37 +126,53 @@ def rebuild_months(
     archive: str | None,
     zone_csv: str,
     layers: Layers,
+    after: Callable[[str], None] | None = None,
 ) -> None:
     """Handle arrived paths: record rejects, rebuild the touched months, validate.
 
-    A month's files are looked for in both folders, since an earlier one may be archived already. Bad data does not stop the stream: a month with a file that can't be stored stays
-    as it is, and that file is recorded with its reason, as is a failed check. Other errors are raised.
+    A month's files are looked for in both folders, since an earlier one may be archived already: a file in incoming
+    is taken from there, one in the archive was moved before, and one in neither is recorded as missing. Bad data does
+    not stop the stream: a month with a file that can't be stored stays as it is, and that file is recorded with its
+    reason, as is a failed check. Other errors are raised. `after` is called with each layer's name once it is written.
     """
+    after = after or (lambda layer: None)
     events = classify_files(arrived).persist()
     try:
         rejected = events.filter("reject_reason IS NOT NULL").select("path", "reject_reason")
         paths = [row.path for row in events.select("path").collect()]
         _record(rejected, layers.rejected_files, paths)
-        months = _trip_events(events).select(*PARTITION_COLUMNS).distinct().collect()
+        accepted = _trip_events(events)
+        months = accepted.select(*PARTITION_COLUMNS).distinct().collect()
+        if not months:
+            return
+        parts = _deliveries(spark, incoming, archive).filter(one_of(PARTITION_COLUMNS, months)).persist()
+        gone = [tuple(row) for row in _gone(accepted, parts).select(*PARTITION_COLUMNS, "path").collect()]
     finally:
         events.unpersist()
-    if not months:
-        return
-    of_months = _stored_files(spark, incoming, archive).filter(one_of(PARTITION_COLUMNS, months))
-    files = [tuple(row) for row in of_months.select(*PARTITION_COLUMNS, "path").collect()]
-    failures = trip_files.bad_files(spark, [(service, path) for service, _, _, path in files])
+    try:
+        listed = _newest(parts).persist()
+        known = catalog.file_schemas(spark, listed, layers.file_catalog)
+        files = [tuple(row) for row in listed.select(*PARTITION_COLUMNS, "path").collect()]
+        listed.unpersist()
+    finally:
+        parts.unpersist()
+    failures = trip_files.bad_files(spark, [(service, path) for service, _, _, path in files], known)
     bad = {path for path, _ in failures}
-    bad_months = {file[:3] for file in files if file[3] in bad}
-    good = [file for file in files if file[:3] not in bad_months]
+    left_alone = {file[:3] for file in files if file[3] in bad} | {file[:3] for file in gone}
+    failures += [(path, catalog.GONE) for *_, path in gone]
+    good = [file for file in files if file[:3] not in left_alone]
     if good:
         _, year, month = min(months)
-        rebuilt = store_monthly_files(spark, good, layers, year, month)
+        rebuilt = store_monthly_files(spark, good, layers, year, month, known)
         write_zone_lookup(trip_files.read_zone_lookup(spark, zone_csv), layers)
+        after("bronze")
         silver = build_silver(spark, layers, rebuilt)
         build_rejects(spark, layers, rebuilt)
-        build_gold(spark, layers, silver.touched_months)
+        after("silver")
+        build_gold(spark, layers, silver.touched_months, rebuilt)
+        after("gold")
         try:
-            validate(spark, layers)
+            validate(spark, layers, rebuilt)
         except DataQualityError:
             failures += [(path, "critical check failed") for *_, path in good]
     if failures:
@@ -153,18 +189,20 @@ def start_arrivals(
     archive: str | None = None,
     max_files_per_trigger: int | None = None,
     poll_seconds: int | None = None,
+    after: Callable[[str], None] | None = None,
 ) -> StreamingQuery:
     """Start the query. Without `poll_seconds` it handles what is there and stops.
 
     Several pending files share one micro-batch, so a month with many part files is rebuilt once;
-    `max_files_per_trigger=1` gives one file at a time. Micro-batches never overlap.
+    `max_files_per_trigger=1` gives one file at a time, the oldest first. Micro-batches never overlap. A batch that
+    fails between two layers is repeated from its first step when the query starts again. `after`: see `rebuild_months`.
     """
     # A file must not move while the rebuild that lists both folders runs. The setting is the session's, so it holds
     # for the file streams that are started in it later, too.
     spark.conf.set("spark.sql.streaming.fileSource.cleaner.numThreads", "0")
 
     def handle(batch: DataFrame, _: int) -> None:
-        rebuild_months(batch.sparkSession, batch, incoming, archive, zone_csv, layers)
+        rebuild_months(batch.sparkSession, batch, incoming, archive, zone_csv, layers, after)
 
     writer = (
         read_arrivals(spark, incoming, max_files_per_trigger, archive)
