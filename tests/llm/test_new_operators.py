@@ -13,6 +13,7 @@ import numpy as np
 import pytest
 
 from tests.llm.test_operators import corpus, got, prose, table
+from tripstrata.llm import op3_suffix_dedup as suffixes
 from tripstrata.llm import op11_prefix_trie as trie
 from tripstrata.llm import op12_periodic_runs as runs
 from tripstrata.llm import op13_lm_scores as lm
@@ -219,3 +220,35 @@ def test_known_passages_score_higher(spark):
     rows += [(i, " ".join(shuffled.sample(seen[k][1].split(), len(seen[k][1].split()))), "s") for k, i in enumerate(asked[10:])]
     score = {r.doc_id: r for r in lm.lm_scores(table(spark, rows)).collect()}
     assert all(score[a].score > score[b].score + 10 for a, b in zip(asked[:10], asked[10:], strict=True))
+
+
+# ---- 3: passages in words ----------------------------------------------------------------------------------
+
+
+def test_shared_passages(spark):
+    texts = prose(31, 60, (5, 200))
+    passage = prose(32, 1, (60, 61))[0].split()
+    for k in range(10):  # of 51 words, in another text at another place; of 35 words in ten more
+        texts[k] = f"{texts[k]} {' '.join(passage[:51])}\n{texts[k + 20]}"
+        texts[40 + k] += " " + " ".join(passage[10:45]).upper()
+    rows = [(i, t, "s") for i, t in enumerate(texts)] + [(100, None, "s"), (101, "", "s"), (102, " ".join(passage), "s"), (102, " ".join(passage), "s"), (None, texts[12], "s")]
+
+    def brute(size):
+        split = [tuple(re.findall(r"[^\x20\x09-\x0D]+", (t or "").lower())) for _, t, _ in rows]
+        have = collections.defaultdict(set)
+        for (i, *_), words in zip(rows, split, strict=True):
+            for k in range(len(words) - size + 1):
+                have[words[k : k + size]].add(i)
+        return {i for ids in have.values() if len(ids) > 1 for i in ids}
+
+    found = {r.doc_id for r in suffixes.dedup_counts(table(spark, rows).repartition(3)).collect() if r.n_shared_passages}
+    assert brute(51) <= found <= brute(36) and {*range(10), 102} <= found and not found & {*range(20, 40)} - brute(36)
+
+
+def test_windows_of_a_very_long_text(monkeypatch):
+    monkeypatch.setattr(suffixes, "_PLACE", 9)
+    words = " ".join(f"w{k % 1201}" for k in range(3_000)).encode()
+    parts = [suffixes.sampled_windows(p)[1] for p, _ in suffixes._cut_long([words])]
+    assert len(parts) > 5 and all(len(p) for p in parts)
+    passage = b" ".join(words.split()[700:751])
+    assert set(suffixes.sampled_windows([passage])[1]) <= set(np.concatenate(parts))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripstrata.llm.shared import mixed, stored
+from tripstrata.llm.shared import mixed, slices, stored, word_hashes
 
 
 @dataclass(frozen=True)
@@ -320,12 +320,76 @@ def _found(keyed: DataFrame, spec: Repeats, give, ddl: str, fields: list) -> Dat
     return texts.join(per_text, ["r", "s"]).select("r", "s", "text", "spans").mapInArrow(run, f"r bigint, s bigint, {ddl}")
 
 
+# ---- Passages in words --------------------------------------------------------------------------------------
+
+#: Passages of so many words are always found, those of fewer than the second number never.
+PASSAGE_WORDS, WINDOW_WORDS = 51, 36
+
+
+def sampled_windows(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(text's number, hash) of sampled runs of WINDOW_WORDS words, in lower case (A-Z).
+
+    Of the windows in each PASSAGE_WORDS words the one with the smallest hash is taken, so two texts that share so many
+    words take an equal window from them.
+    """
+    words, offsets = word_hashes(texts)
+    n = len(words) - WINDOW_WORDS + 1
+    if len(words) < PASSAGE_WORDS:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    hashes = Fingerprints(words).of(slice(0, n), slice(WINDOW_WORDS, None))
+    low = np.uint64((1 << _PLACE) - 1)
+    best = (hashes & ~low) | np.arange(n, dtype=np.uint64)
+    wide, left = 1, PASSAGE_WORDS - WINDOW_WORDS + 1
+    while wide * 2 <= left:
+        best = np.minimum(best[:-wide], best[wide:])
+        wide *= 2
+    if left > wide:
+        best = np.minimum(best[: len(best) - (left - wide)], best[left - wide :])
+    owner = np.repeat(np.arange(len(texts)), np.diff(offsets))
+    inside = np.flatnonzero(np.arange(len(best)) + PASSAGE_WORDS <= offsets[1:][owner[: len(best)]])
+    place = np.unique((best[inside] & low).astype(np.int64))
+    return owner[place], hashes[place].view(np.int64)
+
+
+def _windows_of_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        r, texts = batch.column(0).to_numpy(), [x.encode() for x in batch.column(1).to_pylist()]
+        at = 0
+        for lo, hi in slices(texts, 2_000_000):
+            for part, of_part in _cut_long(texts[lo:hi]):
+                i, hashes = sampled_windows(part)
+                yield pa.record_batch([pa.array(hashes), pa.array(r[at + of_part[i]])], names=["window", "r"])
+            at = hi
+
+
+def _cut_long(texts: list[bytes]) -> Iterator[tuple[list[bytes], np.ndarray]]:
+    """The texts and their numbers; a text of more words than places are told apart comes alone, in overlapping parts."""
+    if len(texts) > 1 or len(texts[0]) < 2 << _PLACE:  # a word and the space after it are two bytes at least
+        yield texts, np.arange(len(texts))
+        return
+    words = texts[0].split()
+    step = (1 << _PLACE) - PASSAGE_WORDS
+    for a in range(0, len(words), step):
+        yield [b" ".join(words[a : a + step + PASSAGE_WORDS - 1])], np.zeros(1, np.int64)
+
+
+def shared_passages(keyed: DataFrame) -> DataFrame:
+    """(r, n_shared_passages) of rows with a sampled window that another row has, too."""
+    taken = keyed.select("r", "text").mapInArrow(_windows_of_texts, "window bigint, r bigint")
+    # Each row's windows once, so that a window's rows are counted before they meet.
+    common = taken.groupBy("window").agg(F.min("r").alias("lo"), F.max("r").alias("hi")).where("lo <> hi").select("window")
+    return taken.join(common, "window", "left_semi").groupBy("r").agg(F.count_distinct("window").alias("n_shared_passages"))
+
+
 def dedup_counts(docs: DataFrame, spec: Repeats = Repeats(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, one row per input row.
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_shared_passages, one row per input row.
 
     Every byte goes that a string of `length` bytes covers which also starts anywhere else, in the same text or another;
     strings lie inside one text and are judged on the texts as given, so all copies go. A null text counts as empty. Null
     or repeated ids keep their rows, and rows equal in id and text are each other's copies. Other columns are not read.
+
+    Nothing goes for n_shared_passages, which counts sampled windows of 36 words that other rows have, too: it is above 0 for every text that
+    shares a passage of more than 50 words, however few bytes that has, and 0 for one that shares none of 36 words.
     """
     keyed = _keyed(docs, id_col, text_col)
 
@@ -334,5 +398,6 @@ def dedup_counts(docs: DataFrame, spec: Repeats = Repeats(), id_col: str = "doc_
 
     found = _found(keyed, spec, digest, "n_removed bigint, n_spans bigint, sha string", [("n_removed", pa.int64()), ("n_spans", pa.int64()), ("sha", pa.string())])
     every = keyed.select("doc_id", "r", "s", F.octet_length("text").cast("bigint").alias("n_bytes"), F.sha2(F.col("text").cast("binary"), 256).alias("all_sha"))
-    out = every.join(found, ["r", "s"], "left")
-    return out.select("doc_id", "n_bytes", *(F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("n_removed", "n_spans")), F.coalesce("sha", "all_sha").alias("kept_sha256"))
+    out = every.join(found, ["r", "s"], "left").join(shared_passages(keyed), "r", "left")
+    removed, spans, passages = (F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("n_removed", "n_spans", "n_shared_passages"))
+    return out.select("doc_id", "n_bytes", removed, spans, F.coalesce("sha", "all_sha").alias("kept_sha256"), passages)
