@@ -7,6 +7,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -14,6 +15,7 @@ import pytest
 
 from tests.llm.test_operators import corpus, got, prose, table
 from tripstrata.llm import op3_suffix_dedup as suffixes
+from tripstrata.llm import op6_pseudonyms as pseudonyms
 from tripstrata.llm import op11_prefix_trie as trie
 from tripstrata.llm import op12_periodic_runs as runs
 from tripstrata.llm import op13_lm_scores as lm
@@ -252,3 +254,19 @@ def test_windows_of_a_very_long_text(monkeypatch):
     assert len(parts) > 5 and all(len(p) for p in parts)
     passage = b" ".join(words.split()[700:751])
     assert set(suffixes.sampled_windows([passage])[1]) <= set(np.concatenate(parts))
+
+
+# ---- 6: long runs of digits --------------------------------------------------------------------------------
+
+
+def test_long_runs_of_digits_take_time_in_proportion(spark):
+    """A run of groups, one with a card at its end, one of cards, and digits without any limit."""
+    texts = ["12 " * 30_000, "12 " * 30_000 + "4111-1111-1111-1111", "5500 0000 0000 0004 " * 3_000, "7" * 200_000]
+    pseudonyms.pseudonymized(table(spark, [(0, "12 " * 50, "s")]), key="k").collect()  # compilation
+    began = time.monotonic()
+    out = {r.doc_id: r for r in pseudonyms.pseudonymized(table(spark, [(i, t, "s") for i, t in enumerate(texts)]).repartition(4), key="k").collect()}
+    assert time.monotonic() - began < 150
+    assert out[0].text == texts[0] and out[3].text == texts[3]
+    assert out[1].text[:90_000] == texts[1][:90_000] and out[1].n_card == 1 and out[1].text[-19:] != texts[1][-19:]
+    parts = out[2].text.split()
+    assert out[2].n_card == 3_000 and len({tuple(parts[i : i + 4]) for i in range(0, 12_000, 4)}) == 1 and parts[:4] != ["5500", "0000", "0000", "0004"]

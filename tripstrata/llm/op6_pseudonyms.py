@@ -152,24 +152,37 @@ def _in_run(run: Column) -> Column:
     bound = lambda x, f: F.get(F.transform(F.array(x), f), F.lit(0))
     right = lambda part: F.length(_digits(part)).between(13, most) & (F.pmod(_luhn(_digits(part)), F.lit(10)) == 0)
 
-    def starting(g: Column, i: Column) -> Column:
+    def starting(g: Column, sizes: Column, i: Column) -> Column:
         """Numbers of groups from i on that make a card: `usual`, the longest written as usual or 0, and `loose`, all."""
-        parts = F.transform(F.sequence(F.lit(1), F.least(F.lit(most), F.size(g) - i + 1)), lambda n: F.struct(n.alias("n"), text(g, i, n).alias("part")))
-        good = F.filter(parts, lambda p: right(p["part"]))
+        digits = lambda n: F.aggregate(F.slice(sizes, i, n), F.lit(0), lambda x, y: x + y)
+        fitting = F.filter(F.sequence(F.lit(1), F.least(F.lit(most), F.size(g) - i + 1)), lambda n: digits(n).between(13, most))
+        good = F.filter(F.transform(fitting, lambda n: F.struct(n.alias("n"), text(g, i, n).alias("part"))), lambda p: right(p["part"]))
         longest = lambda x: F.coalesce(F.array_max(F.transform(x, lambda p: p["n"])), F.lit(0))
         return bound(good, lambda x: F.struct(longest(F.filter(x, lambda p: p["part"].rlike(USUAL_CARD))).alias("usual"), F.transform(x, lambda p: p["n"]).alias("loose")))
 
+    def walk(n: Column, first: Column, kind: str, step: Callable[[Column, Column], Column]) -> Column:
+        """What `step` emits from 1 to n in order; it gets what it carries and the place, and gives `carry` and `out`.
+
+        Arrays grow by copying, so blocks of about the root of n places are gathered first, then the blocks.
+        """
+        block = F.greatest(F.lit(32), F.ceil(F.sqrt(n)).cast("int"))
+        none = F.array().cast(f"array<{kind}>")
+        start = lambda carry, out: F.struct(carry.cast("int").alias("carry"), out.alias("out"))
+        add = lambda s, i: bound(step(s["carry"], i), lambda r: start(r["carry"], F.concat(s["out"], r["out"])))
+        inner = lambda carry, lo: F.aggregate(F.sequence(lo, F.least(lo + block - 1, n)), start(carry, none), add)
+        outer = lambda s, lo: bound(inner(s["carry"], lo), lambda r: start(r["carry"], F.array_append(s["out"], r["out"])))
+        return F.aggregate(F.sequence(F.lit(1), n, block), start(first, F.array().cast(f"array<array<{kind}>>")), outer, lambda s: F.flatten(s["out"]))
+
     def apart(cards: Column) -> Column:
         """For each group, how many groups the usual card has that starts there, without those that start inside another."""
-        def step(s: Column, c: Column) -> Column:
-            n = F.when(s["left"] > 0, 0).otherwise(c["usual"])
-            return F.struct(F.greatest(s["left"], n).cast("int").alias("left"), n.alias("n"), s["out"].alias("out"))
+        def step(left: Column, i: Column) -> Column:
+            n = F.when(left > 0, 0).otherwise(F.get(cards, i - 1)["usual"]).cast("int")
+            return F.struct((F.greatest(left, n, F.lit(1)) - 1).alias("carry"), F.array(n).alias("out"))
 
-        closed = lambda s: F.struct((F.greatest(s["left"], F.lit(1)) - 1).alias("left"), F.lit(0).alias("n"), F.array_append(s["out"], s["n"]).alias("out"))
-        return F.aggregate(cards, F.struct(F.lit(0).alias("left"), F.lit(0).alias("n"), F.array().cast("array<int>").alias("out")), lambda s, c: bound(step(s, c), closed), lambda s: s["out"])
+        return walk(F.size(cards), F.lit(0), "int", step)
 
     def cut(g: Column, cards: Column, usual: Column) -> Column:
-        def step(a: Column, i: Column) -> Column:
+        def step(at: Column, i: Column) -> Column:
             room = F.coalesce(F.array_min(F.filter(F.sequence(F.lit(0), F.lit(most)), lambda k: F.coalesce(F.get(usual, i - 1 + k), F.lit(0)) > 0)), F.lit(most))
             card = lambda room: F.when(room == 0, F.get(usual, i - 1)).otherwise(F.array_max(F.filter(F.get(cards, i - 1)["loose"], lambda n: n <= room)))
             other = F.when(i > 1, F.regexp_extract(F.concat(F.right(F.get(g, i - 2), F.lit(1)), F.array_join(F.slice(g, i, 8), "")), _IN_RUN, 1))
@@ -178,14 +191,15 @@ def _in_run(run: Column) -> Column:
 
             def add(n: Column) -> Column:
                 mark = F.regexp_extract(F.get(g, i + n - 2), "[ -]?$", 0)
-                return F.struct((i + n).cast("int").alias("at"), F.concat(a["out"], F.array(text(g, i, n), mark)).alias("out"))
+                return F.struct((i + n).cast("int").alias("carry"), F.array(text(g, i, n), mark).alias("out"))
 
-            return F.when(i >= a["at"], bound(size, add)).otherwise(a)
+            return F.when(i >= at, bound(size, add)).otherwise(F.struct(at.cast("int").alias("carry"), F.array().cast("array<string>").alias("out")))
 
-        return F.aggregate(F.sequence(F.lit(1), F.size(g)), F.struct(F.lit(1).alias("at"), F.array().cast("array<string>").alias("out")), step, lambda a: a["out"])
+        return walk(F.size(g), F.lit(1), "string", step)
 
     groups = F.regexp_extract_all(run, F.lit(r"(\d+[ -]?)"), F.lit(1))
-    every = lambda g: F.transform(F.sequence(F.lit(1), F.size(g)), lambda i: starting(g, i))
+    sizes = lambda g: F.transform(g, lambda x: F.length(_digits(x)))
+    every = lambda g: bound(sizes(g), lambda n: F.transform(F.sequence(F.lit(1), F.size(g)), lambda i: starting(g, n, i)))
     return bound(groups, lambda g: bound(every(g), lambda cards: bound(apart(cards), lambda usual: cut(g, cards, usual))))
 
 
