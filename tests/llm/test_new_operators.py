@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -12,10 +13,13 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.test_operators import corpus, got, prose, table
 from tripstrata.llm import op3_suffix_dedup as suffixes
 from tripstrata.llm import op6_pseudonyms as pseudonyms
+from tripstrata.llm import op8_mixing as mixing
+from tripstrata.llm import op10_embedding_dups as embeddings
 from tripstrata.llm import op11_prefix_trie as trie
 from tripstrata.llm import op12_periodic_runs as runs
 from tripstrata.llm import op13_lm_scores as lm
@@ -270,3 +274,79 @@ def test_long_runs_of_digits_take_time_in_proportion(spark):
     assert out[1].text[:90_000] == texts[1][:90_000] and out[1].n_card == 1 and out[1].text[-19:] != texts[1][-19:]
     parts = out[2].text.split()
     assert out[2].n_card == 3_000 and len({tuple(parts[i : i + 4]) for i in range(0, 12_000, 4)}) == 1 and parts[:4] != ["5500", "0000", "0000", "0004"]
+
+
+# ---- 8: overlapping sources; 10: many lengths ----------------------------------------------------------------
+
+
+def test_cheapest_flow_of_overlapping_sources():
+    """Against all ways to give words of three patterns to two sources: most words first, then fewest second copies."""
+    for quotas in itertools.product(range(0, 9, 2), repeat=2):
+        sizes, members = {"ab": 3, "a": 2, "b": 1}, {"ab": ["a", "b"], "a": ["a"], "b": ["b"]}
+        ways = []
+        for x, y in itertools.product(range(7), repeat=2):
+            for p, q in itertools.product(range(5), range(3)):
+                if x + y <= 6 and x + p <= quotas[0] and y + q <= quotas[1]:
+                    ways.append((-(x + y + p + q), max(0, x + y - 3) + max(0, p - 2) + max(0, q - 1)))
+        routed = mixing.route(sizes, members, dict(zip("ab", map(float, quotas), strict=True)), 2)
+        flat = [part for parts in routed.values() for part in parts]
+        assert (-sum(n for *_, n in flat), sum(n for copy, _, n in flat if copy)) == min(ways)
+
+
+def test_mix_of_rows_with_several_sources_and_none(spark):
+    texts = prose(55, 400, (20, 40))
+    of = lambda i: [["a"], ["a", "b"], ["b", "a", "b"], [None, "c"], [], None][i % 6]
+    rows = [(i, t, of(i)) for i, t in enumerate(texts)] + [(k, texts[6], ["a"]) for k in (6, 6)]  # two more rows equal to row 6
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, of array<string>")
+    out = mixing.mixed_documents(frame, F.col("of")).collect()
+    sizes = collections.Counter()
+    for _, t, sources in rows:
+        for s in {*(sources or ())}:
+            sizes[s] += len(t.split())
+    total = sum(len(t.split()) for _, t, s in rows if s)
+    wanted = mixing.targets(dict(sizes), total, mixing.Mix())
+    given = collections.Counter()
+    for r in out:
+        sources = of(r.doc_id)
+        assert len(r.taken_for) == r.copies and {*r.taken_for} <= {*(sources or ())} and r.taken == r.copies * r["size"] <= 2 * r["size"]
+        if not sources:
+            assert (r.copies, r.source_size, r.target) == (0, None, None)
+        for s in r.taken_for:
+            given[s] += r["size"]
+    reachable = mixing.route(*_patterns(rows), wanted, 2)
+    flow = collections.Counter()
+    for parts in reachable.values():
+        for _, s, n in parts:
+            flow[s] += n
+    assert all(abs(given[s] - flow[s]) <= 40 * 6 for s in wanted) and abs(sum(given.values()) - sum(flow.values())) <= 40 * 6
+    assert len({(r.copies, tuple(r.taken_for)) for r in out if r.doc_id == 6}) == 1
+    assert mixing.take_mix(frame, F.col("of")).count() == sum(r.copies for r in out)
+
+
+def _patterns(rows):
+    sizes, members = collections.Counter(), {}
+    for _, t, sources in rows:
+        key = repr(sorted({*(sources or ())}, key=repr))
+        sizes[key] += len(t.split())
+        members[key] = sorted({*(sources or ())}, key=lambda s: (s is None, s or ""))
+    return dict(sizes), members
+
+
+def test_vectors_of_many_lengths_and_links_at_the_threshold(spark):
+    rnd = np.random.default_rng(3)
+    rows = []
+    for size in range(1, 25):  # more lengths than have principal axes
+        base = rnd.normal(size=(3, size))
+        rows += [(100 * size + k, v.tolist()) for k, v in enumerate([*base, *(base * 2), *(base + rnd.normal(scale=0.05, size=base.shape))])]
+    rows += [(10_000, [0.95, math.sqrt(1 - 0.95**2), 0.0]), (10_001, [1.0, 0.0, 0.0]), (10_002, [0.94, math.sqrt(1 - 0.94**2), 0.0])]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(3)
+    out = {r.vec_id: r for r in embeddings.near_duplicates(frame).collect()}
+    unit = {i: np.array(v) / np.sqrt(np.dot(v, v)) for i, v in rows}
+    links = collections.Counter()
+    for (i, _), (j, _) in itertools.combinations(rows, 2):
+        if len(unit[i]) == len(unit[j]) and float(unit[i] @ unit[j]) >= 0.95 - 1e-15:
+            links[i] += 1
+            links[j] += 1
+    near_edge = {10_000, 10_001, 10_002}
+    assert {i: out[i].n_links for i in unit if i not in near_edge} == {i: links[i] for i in unit if i not in near_edge}
+    assert out[10_002].n_links >= 1 and out[10_000].n_links >= 1

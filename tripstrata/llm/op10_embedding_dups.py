@@ -23,8 +23,8 @@ from tripstrata.llm.shared import components, stored
 TILE = 4096
 _ROWS = 256
 _STEPS = (8, 16, 32)
-#: Principal axes are kept for so many different lengths of vectors at most.
-MAX_LENGTHS = 16
+#: Principal axes are made for so many lengths of vectors, the commonest ones; others are compared along their own axes.
+PRINCIPAL_LENGTHS = 16
 
 
 def _moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -45,18 +45,23 @@ def _by_length(packed: list[bytes]) -> Iterator[np.ndarray]:
 
 
 def principal_axes(packed: DataFrame) -> dict[int, np.ndarray]:
-    """Axes as columns, widest first, for each length of the vectors in the one column of `packed`."""
-    entries = packed.mapInArrow(_moments, "size bigint, at bigint, x double").groupBy("size", "at").agg(F.sum("x").alias("x"))
-    sizes = [r["size"] for r in entries.select("size").distinct().limit(MAX_LENGTHS + 1).collect()]
-    if len(sizes) > MAX_LENGTHS:
-        raise ValueError(f"vectors of more than {MAX_LENGTHS} lengths")
+    """Axes as columns, widest first, for the commonest lengths of the vectors in the one column of `packed`."""
+    size = (F.octet_length(packed.columns[0]) / 8).cast("bigint").alias("size")
+    common = packed.select(size).groupBy("size").count().orderBy(F.desc("count"), "size").limit(PRINCIPAL_LENGTHS).select("size")
+    chosen = packed.withColumn("size", size).join(common, "size", "left_semi").select(packed.columns[0])
+    entries = chosen.mapInArrow(_moments, "size bigint, at bigint, x double").groupBy("size", "at").agg(F.sum("x").alias("x"))
     out = {}
-    for size in sizes:
+    for (size,) in entries.select("size").distinct().collect():
         rows = entries.where(F.col("size") == size).orderBy("at").toPandas()
         out[size] = np.linalg.eigh(rows["x"].to_numpy().reshape(size, size))[1][:, ::-1].copy()
     return out
 
 
+def axes_of(axes: dict[int, np.ndarray], size: int) -> np.ndarray:
+    """A length's principal axes, or its own axes: any orthonormal ones give the same links, more or less quickly."""
+    return axes[size] if size in axes else np.eye(size)
+
+
 def linked(x: np.ndarray, y: np.ndarray, axes: np.ndarray, threshold: float, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs of rows of x and y with a cosine of `threshold` or more, a few rows of x at a time; `same`: i < j only."""
     nx, ny = np.sqrt(np.einsum("ij,ij->i", x, x)), np.sqrt(np.einsum("ij,ij->i", y, y))
@@ -159,7 +164,7 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _first_axis(batches: Iterator[pa.RecordBatch], axes: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         x = [np.frombuffer(v) for v in batch.column(4).to_pylist()]
-        y = [float(v @ axes[len(v)][:, 0] / np.sqrt(v @ v)) for v in x]
+        y = [float(v @ axes_of(axes, len(v))[:, 0] / np.sqrt(v @ v)) for v in x]
         yield pa.record_batch([*batch.columns, pa.array([len(v) for v in x], pa.int32()), pa.array(y, pa.float64())], names=["h", "g", "rep", "n", "x", "size", "y"])
 
 
@@ -208,7 +213,7 @@ def _compare(key: tuple, frame: pd.DataFrame, axes: dict[int, np.ndarray], thres
     left, right, shift = x[:cut], x if same else x[cut:], 0 if same else cut
     links, label, tree = np.zeros(len(x), np.int64), np.arange(len(x)), []
     if len(left) and len(right):
-        for i, j in linked(left, right, axes[size], threshold, same):
+        for i, j in linked(left, right, axes_of(axes, size), threshold, same):
             j = j + shift
             links += np.bincount(i, n[j], len(x)).astype(np.int64) + np.bincount(j, n[i], len(x)).astype(np.int64)
             forest(label, i, j, tree)

@@ -265,19 +265,26 @@ def _blocks(offsets: np.ndarray, first_line: np.ndarray) -> np.ndarray:
     return np.stack((start, stop), axis=1)[lines > 1]
 
 
+#: Characters of a sampled paragraph that training reads.
+TRAINING_CHARS = 2_000
+
+
 def scan_licenses(docs: DataFrame, scan: Scan = Scan(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Licences stated in each row's text: doc_id, n_paragraphs, n_confirmed, n_unconfirmed, families, paragraphs.
 
     A paragraph is a line with a word; long ones are judged in overlapping pieces, and so are runs of adjacent lines, over whose ends
     notices may go on. `families` are the confirmed ones, sorted; `paragraphs` holds (line_no, family, probability, template_share,
     confirmed) of all predicted lines, once for each family: of a notice over several lines, the first. A null or empty text has none. Null
-    or repeated ids keep their rows; other columns are not read. Training reads the first 2,000 characters of at most `unknown_sample` paragraphs,
-    those with the smallest seeded hashes; every paragraph is then scanned, in one pass without a shuffle.
+    or repeated ids keep their rows; other columns are not read. Training reads at most `unknown_sample` paragraphs, those with the
+    smallest seeded hashes, of a long one 2,000 characters at a drawn place; every paragraph is then scanned, in one pass without a shuffle.
     """
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    lines = rows.select("doc_id", F.explode(F.split("text", "\n")).alias("line")).where("length(line) > 0").select(F.xxhash64(F.lit(scan.seed), "doc_id", "line").alias("h"), F.substring("line", 1, 2_000).alias("line"))
+    lines = rows.select("doc_id", F.explode(F.split("text", "\n")).alias("line")).where("length(line) > 0").withColumn("h", F.xxhash64(F.lit(scan.seed), "doc_id", "line"))
     subject = F.lower("line").rlike("licen[sc]e|copyright|all rights reserved|public domain|permission")
-    sample = lines.where(~subject).orderBy("h", "line").limit(scan.unknown_sample).collect()
+    drawn = lines.where(~subject).orderBy("h", "line").limit(scan.unknown_sample)
+    # Of a long line a window is learned from, at a place that the hash draws.
+    start = F.pmod("h", F.greatest(F.lit(1), F.length("line") - TRAINING_CHARS + 1)).cast("int") + 1
+    sample = drawn.select(F.substr("line", start, F.lit(TRAINING_CHARS)).alias("line")).collect()
     unknown = [r["line"] for r in sample if not like_a_template(r["line"])]
     model, _ = trained(scan, unknown)
 
