@@ -281,10 +281,17 @@ def scan_licenses(docs: DataFrame, scan: Scan = Scan(), id_col: str = "doc_id",
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     lines = rows.select("doc_id", F.explode(F.split("text", "\n")).alias("line")).where("length(line) > 0").withColumn("h", F.xxhash64(F.lit(scan.seed), "doc_id", "line"))
     subject = F.lower("line").rlike("licen[sc]e|copyright|all rights reserved|public domain|permission")
-    drawn = lines.where(~subject).orderBy("h", "line").limit(scan.unknown_sample)
     # Of a long line a window is learned from, at a place that the hash draws.
     start = F.pmod("h", F.greatest(F.lit(1), F.length("line") - TRAINING_CHARS + 1)).cast("int") + 1
-    sample = drawn.select(F.substr("line", start, F.lit(TRAINING_CHARS)).alias("line")).collect()
+    drawn = lines.where(~subject).select("h", F.substr("line", start, F.lit(TRAINING_CHARS)).alias("line"))
+    # Only hashes below a bound that some times as many lines have are sorted, so no task sends more than its part of them.
+    share = min(1.0, 4 * scan.unknown_sample / max(1, lines.count()))
+    while True:
+        low = drawn if share == 1 else drawn.where(F.col("h") < int(share * 2**64) - 2**63)
+        sample = low.orderBy("h", "line").limit(scan.unknown_sample).collect()
+        if share == 1 or len(sample) == scan.unknown_sample:
+            break
+        share = min(1.0, 8 * share)
     unknown = [r["line"] for r in sample if not like_a_template(r["line"])]
     model, _ = trained(scan, unknown)
 
