@@ -82,7 +82,7 @@ def store_measures(spark: SparkSession, layers: Layers, touched: Iterable[Partit
     touched = list(touched)
     expected = [(layer, *p) for layer in ("bronze", "silver") for p in touched]
     expected += [(layer, ALL_SERVICES, *m) for layer in ("gold_zones", "gold_payments") for m in tables.months_of(touched)]
-    keys = spark.createDataFrame(expected, T.StructType([f for f in _SCHEMA if f.name in KEYS]))
+    keys = spark.createDataFrame(expected, T.StructType([f for f in _SCHEMA if f.name in KEYS])).coalesce(1)
     found = keys.join(measure_partitions(spark, layers, touched), list(KEYS), "left").fillna(0, list(MEASURES))
     rows = found.select(*_SCHEMA.names).withColumn("version", F.lit(last + 1))
     rows.coalesce(1).write.mode("append").parquet(layers.partition_measures)
@@ -102,7 +102,7 @@ def totals_of(spark: SparkSession, layers: Layers) -> tuple[dict[str, int], Data
         return {m: (by_layer[layer][m] if layer in by_layer else None) or 0 for m in names}
 
     def one_row(counts: dict[str, int]) -> DataFrame:
-        return spark.createDataFrame([tuple(counts.values())], ", ".join(f"{m} bigint" for m in counts))
+        return spark.range(1, numPartitions=1).select(*[F.lit(n).cast("bigint").alias(m) for m, n in counts.items()])
 
     counts = {layer: of(layer, ("total_rows",))["total_rows"] for layer in ("bronze", "silver", "gold_zones", "gold_payments")}
     silver = of("silver", ("total_rows", "compliant_rows", *VIOLATIONS))

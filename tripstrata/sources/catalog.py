@@ -94,7 +94,7 @@ def read_footers(files: DataFrame) -> DataFrame:
     keys = files.select(*KEY).persist()
     try:
         number = keys.count()
-        tasks = max(1, min(number, max(spark.sparkContext.defaultParallelism, number // _FILES_A_TASK)))
+        tasks = max(1, min(number // 16, spark.sparkContext.defaultParallelism), number // _FILES_A_TASK)
         found = keys.repartition(tasks).mapInArrow(_footers, CATALOG_SCHEMA).persist()
         open_ = [row.path for row in found.filter("columns IS NULL AND fault IS NULL").select("path").collect()]
     finally:
