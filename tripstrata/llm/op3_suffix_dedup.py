@@ -376,8 +376,8 @@ def _cut_long(texts: list[bytes]) -> Iterator[tuple[list[bytes], np.ndarray]]:
 def shared_passages(keyed: DataFrame) -> DataFrame:
     """(r, n_shared_passages) of rows with a sampled window that another row has, too."""
     taken = keyed.select("r", "text").mapInArrow(_windows_of_texts, "window bigint, r bigint")
-    # Each row's windows once, so that a window's rows are counted before they meet.
-    common = taken.groupBy("window").agg(F.min("r").alias("lo"), F.max("r").alias("hi")).where("lo <> hi").select("window")
+    # Counted before rows meet. Stored, so that the join has exchanges of its own and Spark can split a very common window.
+    common = stored(taken.groupBy("window").agg(F.min("r").alias("lo"), F.max("r").alias("hi")).where("lo <> hi").select("window"))
     return taken.join(common, "window", "left_semi").groupBy("r").agg(F.count_distinct("window").alias("n_shared_passages"))
 
 
