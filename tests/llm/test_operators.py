@@ -408,6 +408,24 @@ def test_long_repeats(spark, spec):
     assert [tuple(s) for s in spans["spans"]] == [(0, 300)] and spans["kept"] == b""
 
 
+@pytest.mark.parametrize("length", [1, 3, 8, 17, 40])
+@pytest.mark.parametrize("segment", [3, 50, 16_384])
+def test_levels_are_suffix_arrays(monkeypatch, length, segment):
+    rnd = random.Random(length)
+    monkeypatch.setattr(suffixes.Family, "SEGMENT", segment)
+    for _ in range(10):
+        family = suffixes.Family(length)
+        batches = [[bytes(rnd.choice(b"ab\0") for _ in range(rnd.randint(length, length + 30))) for _ in range(rnd.randint(1, 6))] for _ in range(rnd.randint(1, 12))]
+        places = [family.add(batch) for batch in batches]
+        seen = collections.Counter(c[k : k + length] for batch in batches for c in batch for k in range(len(c) - length + 1))
+        for batch, bounds in zip(batches, places, strict=True):
+            for c, (first, stop) in zip(batch, bounds, strict=True):
+                assert family.matched[first:stop].tolist() == [seen[c[k : k + length]] > 1 for k in range(len(c) - length + 1)]
+        for level in family.levels:
+            windows = [family.text[s : s + length].tobytes() for s in level.start]
+            assert windows == sorted(set(windows))
+
+
 def test_levels_stay_few():
     family = suffixes.Family(10)
     for k in range(64):

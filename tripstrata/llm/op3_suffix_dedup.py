@@ -4,11 +4,9 @@ Positions are thinned out first. The anchor of a window of `length` bytes is the
 runs of `gram` bytes, so equal windows have equal anchors at equal places. Neighbouring windows of one anchor form a
 run; a run's bytes are its context. A gram that occurs once rules out all of its run's windows. Equal contexts repeat as a
 whole and become one. What is left, different contexts around one gram, is dealt out by gram, and each task keeps an index
-family over them: contexts arrive in batches, each batch gets a suffix array of its windows' starts, sorted to depth
-`length`; the array is merge-scanned against every level of the family for windows that agree in all their bytes; then
-it becomes a level, and levels of about one size merge, so that there are logarithmically many. Arrays are ordered by two
-leading bytes, then by fingerprint of the whole window, which puts equal windows side by side; a second fingerprint,
-independent of the first, confirms a match (128 bits together, less 16 for the leading bytes).
+family over them: contexts arrive in batches, each batch gets a suffix array of its windows' starts, in the order of their
+bytes to depth `length`, by doubled ranks; the array is merge-scanned against every level of the family for windows that agree in
+all their bytes; then it becomes a level, and levels of about one size are merged, so that there are logarithmically many.
 
 Contexts of one gram beyond `crowd` don't meet in a task: their windows are counted by fingerprint over the cluster.
 """
@@ -16,6 +14,8 @@ Contexts of one gram beyond `crowd` don't meet in a task: their windows are coun
 from __future__ import annotations
 
 import hashlib
+import itertools
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -138,54 +138,126 @@ def _cut_out(spec: Repeats):
     return run
 
 
+def _ranks(key: np.ndarray) -> np.ndarray:
+    """Place of each value among the distinct values."""
+    order = np.argsort(key)
+    new = np.ones(len(key), bool)
+    new[1:] = key[order[1:]] != key[order[:-1]]
+    out = np.empty(len(key), np.int64)
+    out[order] = np.cumsum(new) - 1
+    return out
+
+
+def suffix_order(text: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """`starts` in the order of the `length` bytes that follow each, and whether each is equal to the one before.
+
+    Ranks of short strings at all places are doubled up to the greatest power of two below `length`; two overlapping
+    ranks then cover the whole. Places are compared by their bytes alone.
+    """
+    rank, wide = text.astype(np.int64), 1
+    while wide * 2 <= min(length, 4):  # four bytes fit a number as they are
+        rank, wide = (rank[:-wide] << 8 * wide) + rank[wide:], wide * 2
+    rank = _ranks(rank)
+    while wide * 2 <= length:
+        rank, wide = _ranks(rank[:-wide] * len(text) + rank[wide:]), wide * 2
+    key = rank[starts] * len(text) + rank[starts + length - wide]
+    order = np.argsort(key)
+    key = key[order]
+    return starts[order], np.append(False, key[1:] == key[:-1])[: len(starts)]
+
+
+_LEAD = 8
+
+
 class Level:
-    """A suffix array: sorted keys, second fingerprints, entry numbers, and which entries have a match."""
+    """A suffix array of different windows: their starts in the family's text in ascending order of the bytes, and their leading bytes as numbers."""
 
-    def __init__(self, key: np.ndarray, check: np.ndarray, entry: np.ndarray, order: np.ndarray | None = None) -> None:
-        order = np.argsort(key, kind="stable") if order is None else order
-        self.key, self.check, self.entry = key[order], check[order], entry[order]
+    def __init__(self, start: np.ndarray, lead: np.ndarray) -> None:
+        self.start, self.lead = start, lead
 
     def __len__(self) -> int:
-        return len(self.key)
+        return len(self.start)
 
 
 class Family:
-    """Levels of suffix arrays; `matched` tells for every entry so far whether its window occurs again."""
+    """Levels of suffix arrays over one growing text; `matched` tells for each place so far whether the window there occurs again."""
+
+    #: Windows of either side that are merged at once; their bytes are held meanwhile.
+    SEGMENT = 16_384
 
     def __init__(self, length: int) -> None:
         self.length = length
         self.levels: list[Level] = []
+        self.text = np.zeros(0, np.uint8)
         self.matched = np.zeros(0, bool)
 
-    def add(self, contexts: list[bytes]) -> np.ndarray:
-        """Indexes the windows of the contexts, all starts of which are entries; returns each context's first entry, and the end."""
+    def add(self, contexts: list[bytes]) -> list[tuple[int, int]]:
+        """Indexes the windows of the contexts; returns for each the places of its first window and after its last one."""
         text = np.frombuffer(b"".join(contexts), np.uint8)
         sizes = np.array([len(c) for c in contexts])
         counts = sizes - self.length + 1
+        base = len(self.text)
         heads = np.cumsum(sizes) - sizes
-        firsts = len(self.matched) + np.concatenate(([0], np.cumsum(counts)))
         at = np.repeat(heads - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
-        self.matched = np.append(self.matched, np.zeros(len(at), bool))
-        one, two = (Fingerprints(text, base).of(at, at + self.length) for base in _BASES)
-        leading = text[at].astype(np.uint64) << np.uint64(56) | text[at + 1].astype(np.uint64) << np.uint64(48)
-        new = Level(leading | one >> np.uint64(16), two, np.arange(firsts[0], firsts[-1]))
-        same = np.flatnonzero((new.key[1:] == new.key[:-1]) & (new.check[1:] == new.check[:-1]))
-        self.matched[new.entry[same]] = self.matched[new.entry[same + 1]] = True
+        self.text, self.matched = np.append(self.text, text), np.append(self.matched, np.zeros(len(text), bool))
+        order, same = suffix_order(text, at, self.length)
+        again = np.flatnonzero(same)
+        self.matched[base + order[again]] = self.matched[base + order[again - 1]] = True
+        # A level needs one place of each window: the others are marked by now.
+        firsts = order[~same]
+        lead = np.zeros(len(firsts), np.uint64)
+        for k in range(min(_LEAD, self.length)):
+            lead = lead << np.uint64(8) | text[firsts + k].astype(np.uint64)
+        new = Level(base + firsts, lead)
         for level in self.levels:
-            self.scan(new, level)
+            below, held = self.scan(new, level)
+            self.matched[new.start[held]] = self.matched[level.start[below[held]]] = True
         self.levels.append(new)
         while len(self.levels) > 1 and len(self.levels[-2]) < 2 * len(self.levels[-1]):
-            b, a = self.levels.pop(), self.levels.pop()
-            self.levels.append(Level(np.append(a.key, b.key), np.append(a.check, b.check), np.append(a.entry, b.entry)))
-        return firsts
-
-    def scan(self, new: Level, level: Level) -> None:
-        """Marks, in both arrays, windows that the other one holds too."""
-        for one, other in ((new, level), (level, new)):
-            at = np.searchsorted(other.key, one.key)
-            at[at == len(other)] = 0
-            hit = (other.key[at] == one.key) & (other.check[at] == one.check)
-            self.matched[one.entry[hit]] = True
+            small, large = self.levels.pop(), self.levels.pop()
+            below, held = self.scan(small, large)
+            to = below[~held]
+            self.levels.append(Level(np.insert(large.start, to, small.start[~held]), np.insert(large.lead, to, small.lead[~held])))
+        return list(zip((base + heads).tolist(), (base + heads + counts).tolist(), strict=True))
+
+    def scan(self, a: Level, b: Level) -> tuple[np.ndarray, np.ndarray]:
+        """Merge scan: for each window of `a` the number of windows of `b` below it, and whether `b` holds it.
+
+        Windows whose leading bytes the other level lacks are placed by these; the others are merged by all their bytes.
+        """
+        below = np.searchsorted(b.lead, a.lead)
+        held = np.zeros(len(a), bool)
+        tied = np.flatnonzero(b.lead[np.minimum(below, len(b) - 1)] == a.lead)
+        back = np.searchsorted(a.lead, b.lead)
+        met = np.flatnonzero(a.lead[np.minimum(back, len(a) - 1)] == b.lead)
+        lead = b.lead[met]
+        for lo, hi, left, right in self._segments(a.start[tied], b.start[met]):
+            places = np.append(a.start[tied[lo:hi]], b.start[met[left:right]])
+            windows = self._windows()[places]
+            order = np.argsort(windows, kind="stable")  # two ascending runs, which this sort merges
+            of_a = order < hi - lo
+            sorted_windows = windows[order]
+            equal = np.append(sorted_windows[1:] == sorted_windows[:-1], False)  # then the one of `a` comes first
+            mine = np.flatnonzero(of_a)
+            which = tied[lo + order[mine]]
+            passed = left + np.cumsum(~of_a)[mine]
+            below[which] += passed - np.searchsorted(lead, a.lead[which])
+            held[which] = equal[mine]
+        return below, held
+
+    def _windows(self) -> np.ndarray:
+        """All strings of `length` bytes of the text, none copied."""
+        return np.ndarray((len(self.text) - self.length + 1,), f"S{self.length}", self.text, strides=(1,))
+
+    def _segments(self, a: np.ndarray, b: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """Bounds of parts of two ascending lists of windows that can be merged one by one: equal windows share a part."""
+        at = lambda place: self.text[place : place + self.length].tobytes()
+        cuts = {(k, bisect_left(b, at(a[k]), key=at)) for k in range(0, len(a), self.SEGMENT)}
+        cuts |= {(bisect_left(a, at(b[k]), key=at), k) for k in range(0, len(b), self.SEGMENT)}
+        ends = [*sorted(cuts | {(0, 0)}), (len(a), len(b))]
+        for (lo, left), (hi, right) in itertools.pairwise(ends):
+            if hi > lo:
+                yield lo, hi, left, right
 
 
 def _intervals(starts: np.ndarray, length: int) -> list[tuple[int, int]]:
@@ -204,7 +276,7 @@ def _scanned(spec: Repeats):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         family = Family(spec.length)
-        places: list[tuple[np.ndarray, list[tuple[int, int, int, int]]]] = []
+        places: list[tuple[list[tuple[int, int]], list[tuple[int, int, int, int]]]] = []
         waiting: list[bytes] = []
         at: list[tuple[int, int, int, int]] = []
         size = 0
@@ -226,10 +298,10 @@ def _scanned(spec: Repeats):
                     settle()
         settle()
         out: list[tuple[int, int, int, int]] = []
-        for firsts, where in places:
-            for k, (n, r, s, a) in enumerate(where):
+        for bounds, where in places:
+            for (first, stop), (n, r, s, a) in zip(bounds, where, strict=True):
                 if n == 1:
-                    hit = np.flatnonzero(family.matched[firsts[k] : firsts[k + 1]])
+                    hit = np.flatnonzero(family.matched[first:stop])
                     out += [(r, s, a + i, a + j) for i, j in _intervals(hit, spec.length)]
         yield pa.record_batch([pa.array(c, pa.int64()) for c in (zip(*out, strict=True) if out else [[]] * 4)], schema=_SPANS)
 
