@@ -5,7 +5,7 @@ runs of `gram` bytes, so equal windows have equal anchors at equal places. Neigh
 run; a run's bytes are its context. A gram that occurs once rules out all of its run's windows. Equal contexts repeat as a
 whole and become one. What is left, different contexts around one gram, is dealt out by gram, and each task keeps an index
 family over them: contexts arrive in batches, each batch gets a suffix array of its windows' starts, in the order of their
-bytes to depth `length`, by doubled ranks; the array is merge-scanned against every level of the family for windows that agree in
+bytes to depth `length`, by ranks of ever longer strings; the array is merge-scanned against every level of the family for windows that agree in
 all their bytes; then it becomes a level, and levels of about one size are merged, so that there are logarithmically many.
 
 Contexts of one gram beyond `crowd` don't meet in a task: their windows are counted by fingerprint over the cluster.
@@ -33,7 +33,7 @@ class Repeats:
     gram: int = 128
     #: Bytes of text handled at once (at most 2**22), and of contexts in a batch of the index family.
     chunk: int = 3_000_000
-    batch: int = 500_000
+    batch: int = 1_500_000
     #: Contexts of one gram that may meet in a task, and contexts in a task's share on average.
     crowd: int = 2_000
     share: int = 20_000
@@ -148,27 +148,45 @@ def _ranks(key: np.ndarray) -> np.ndarray:
     return out
 
 
+_LEAD = 8
+
+
+def _leading(text: np.ndarray, starts: np.ndarray | slice, wide: int) -> np.ndarray:
+    """The `wide` bytes, 8 at most, that follow each start, as numbers."""
+    out = np.zeros(len(text[: len(text) - wide + 1][starts]), np.uint64)
+    for k in range(wide):
+        out = out << np.uint64(8) | text[k : len(text) - wide + 1 + k][starts].astype(np.uint64)
+    return out
+
+
 def suffix_order(text: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """`starts` in the order of the `length` bytes that follow each, and whether each is equal to the one before.
 
-    Ranks of short strings at all places are doubled up to the greatest power of two below `length`; two overlapping
-    ranks then cover the whole. Places are compared by their bytes alone.
+    Ranks of short strings at all places give those of strings three times as long (twice, where three ranks don't fit a
+    number) while these are no longer than `length`; overlapping ranks then cover the whole. Places are compared by their bytes alone.
     """
-    rank, wide = text.astype(np.int64), 1
-    while wide * 2 <= min(length, 4):  # four bytes fit a number as they are
-        rank, wide = (rank[:-wide] << 8 * wide) + rank[wide:], wide * 2
-    rank = _ranks(rank)
-    while wide * 2 <= length:
-        rank, wide = _ranks(rank[:-wide] * len(text) + rank[wide:]), wide * 2
-    key = rank[starts] * len(text) + rank[starts + length - wide]
+    wide = min(length, _LEAD)
+    rank = _ranks(_leading(text, slice(None), wide))
+    size = max(len(text), 2)
+    fold = 3 if size**3 < 1 << 63 else 2
+    while wide < length:
+        longer = min(wide * fold, length)
+        n = len(text) - longer + 1
+        key = rank[:n].copy()
+        for k in range(1, fold):  # the last one ends where the longer string ends
+            at = min(wide * k, longer - wide)
+            key = key * size + rank[at : at + n]
+        if longer == length:
+            key = key[starts]
+            break
+        rank, wide = _ranks(key), longer
+    else:
+        key = rank[starts]
     order = np.argsort(key)
     key = key[order]
     return starts[order], np.append(False, key[1:] == key[:-1])[: len(starts)]
 
 
-_LEAD = 8
-
-
 class Level:
     """A suffix array of different windows: their starts in the family's text in ascending order of the bytes, and their leading bytes as numbers."""
 
@@ -183,7 +201,7 @@ class Family:
     """Levels of suffix arrays over one growing text; `matched` tells for each place so far whether the window there occurs again."""
 
     #: Windows of either side that are merged at once; their bytes are held meanwhile.
-    SEGMENT = 16_384
+    SEGMENT = 2_048
 
     def __init__(self, length: int) -> None:
         self.length = length
@@ -205,10 +223,7 @@ class Family:
         self.matched[base + order[again]] = self.matched[base + order[again - 1]] = True
         # A level needs one place of each window: the others are marked by now.
         firsts = order[~same]
-        lead = np.zeros(len(firsts), np.uint64)
-        for k in range(min(_LEAD, self.length)):
-            lead = lead << np.uint64(8) | text[firsts + k].astype(np.uint64)
-        new = Level(base + firsts, lead)
+        new = Level(base + firsts, _leading(text, firsts, min(_LEAD, self.length)))
         for level in self.levels:
             below, held = self.scan(new, level)
             self.matched[new.start[held]] = self.matched[level.start[below[held]]] = True
@@ -231,13 +246,16 @@ class Family:
         back = np.searchsorted(a.lead, b.lead)
         met = np.flatnonzero(a.lead[np.minimum(back, len(a) - 1)] == b.lead)
         lead = b.lead[met]
+        tail = self.text[self.length - 1 :]  # the last byte of the window at each place
         for lo, hi, left, right in self._segments(a.start[tied], b.start[met]):
             places = np.append(a.start[tied[lo:hi]], b.start[met[left:right]])
             windows = self._windows()[places]
             order = np.argsort(windows, kind="stable")  # two ascending runs, which this sort merges
             of_a = order < hi - lo
-            sorted_windows = windows[order]
-            equal = np.append(sorted_windows[1:] == sorted_windows[:-1], False)  # then the one of `a` comes first
+            near = np.flatnonzero(of_a[:-1] & ~of_a[1:])  # of two equal windows the one of `a` comes first
+            near = near[tail[places[order[near]]] == tail[places[order[near + 1]]]]
+            equal = np.zeros(len(order), bool)
+            equal[near] = windows[order[near]] == windows[order[near + 1]]
             mine = np.flatnonzero(of_a)
             which = tied[lo + order[mine]]
             passed = left + np.cumsum(~of_a)[mine]
