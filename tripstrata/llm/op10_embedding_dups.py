@@ -14,13 +14,15 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripstrata.llm.shared import components, stored
 
 #: Vectors of one length in a tile; a task holds two tiles and some products of theirs.
 TILE = 4096
+#: Equal parts of the first axis, from -1 to 1, which tiles are made of.
+CELLS = 65_536
 _ROWS = 256
 _STEPS = (8, 16, 32)
 #: Principal axes are made for so many lengths of vectors, the commonest ones; others are compared along their own axes.
@@ -142,7 +144,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, id_col: str = "
     classes = stored(known.groupBy("h", "g").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"), F.first("e").alias("e")).mapInArrow(_packed, "h bigint, g bigint, rep bigint, n bigint, x binary"))
     axes = principal_axes(classes.select("x"))
     placed = stored(classes.mapInArrow(lambda batches: _first_axis(batches, axes), "h bigint, g bigint, rep bigint, n bigint, x binary, size int, y double"))
-    found = stored(_tile_pairs(placed, threshold).groupBy("a", "b").applyInPandas(lambda key, f: _compare(key, f, axes, threshold), "h bigint, g bigint, links bigint, p bigint, q bigint"))
+    found = stored(_tile_pairs(placed, threshold).groupBy("size", "a", "b").applyInPandas(lambda key, f: _compare(key[1:], f, axes, threshold), "h bigint, g bigint, links bigint, p bigint, q bigint"))
     links = found.where("h IS NOT NULL").groupBy("h", "g").agg(F.sum("links").alias("more"))
     roots = components(found.where("p IS NOT NULL").select(F.col("p").alias("a"), F.col("q").alias("b")))
     per_class = classes.join(links, ["h", "g"], "left").join(roots, F.col("rep") == F.col("node"), "left").select("h", "g", (F.coalesce("more", F.lit(0)) + F.col("n") - 1).alias("class_links"), F.coalesce("component", "rep").alias("class_component"))
@@ -169,37 +171,35 @@ def _first_axis(batches: Iterator[pa.RecordBatch], axes: dict[int, np.ndarray])
 
 
 def _tile_pairs(placed: DataFrame, threshold: float) -> DataFrame:
-    """Every class once for each pair of tiles (a <= b) that its tile takes part in.
+    """Every class once for each pair of tiles (a <= b) of its length that its tile takes part in.
 
-    Tiles are ranges of the first axis; one that holds too many classes is split by hash. Two unit vectors whose first
-    coordinates lie further apart than vectors at the threshold do can't link, so such tiles don't meet.
+    Cells of the first axis, in order, form ranges of about TILE classes; a range that holds more, for a cell with many, is
+    split by hash into several tiles. Two unit vectors whose first coordinates lie further apart than vectors at the threshold
+    do can't link, so such ranges don't meet; those that a range meets from itself upwards follow one another. Cells are
+    bounded in number whatever the rows, and nothing of the tiles comes to the driver.
     """
-    spark = placed.sparkSession
     reach = float(np.sqrt(2 - 2 * threshold)) + 1e-9
-    sizes = placed.groupBy("size").agg(F.count("*").alias("k")).collect()
-    edges = []
-    for r in sizes:
-        parts = -(-r["k"] // TILE)
-        cuts = placed.where(F.col("size") == r["size"]).agg(F.percentile_approx("y", [i / parts for i in range(1, parts)], 10_000)).first()[0] if parts > 1 else []
-        edges.append((r["size"], sorted(set(cuts))))
-    ranged = placed.join(F.broadcast(spark.createDataFrame(edges, "size int, cuts array<double>")), "size").withColumn("range", F.expr("size(filter(cuts, c -> c <= y))")).drop("cuts")
-    counted = ranged.groupBy("size", "range").agg(F.count("*").alias("k"), F.min("y").alias("low"), F.max("y").alias("high")).orderBy("size", "range").collect()
-    tiles, at = [], 0
-    for r in counted:
-        parts = -(-r["k"] // TILE)
-        tiles.append((r["size"], r["range"], at, parts, r["low"], r["high"]))
-        at += parts
-    meets = []
-    for size, rng, start, parts, low, high in tiles:
-        partners = [t for t in tiles if t[0] == size and t[4] <= high + reach and t[5] >= low - reach]
-        meets.append((size, rng, start, parts, [t[2] + k for t in partners for k in range(t[3])]))
-    table = spark.createDataFrame(meets, "size int, range int, start int, parts int, partners array<int>")
-    if len(meets) <= 2_000:
-        table = F.broadcast(table)
-    own = ranged.join(table, ["size", "range"]).withColumn("tile", F.col("start") + F.pmod(F.xxhash64("h", "g"), F.col("parts")).cast("int"))
-    return own.select("h", "g", "rep", "n", "x", "size", "tile", F.explode("partners").alias("other")).select(
-        "h", "g", "rep", "n", "x", "size", "tile", F.least("tile", "other").alias("a"), F.greatest("tile", "other").alias("b")
-    )
+    in_order = Window.partitionBy("size").orderBy("cell")
+    celled = placed.withColumn("cell", F.floor((F.col("y") + 1) * (CELLS / 2)))
+    cells = celled.groupBy("size", "cell").agg(F.count("*").alias("k"), F.min("y").alias("low"), F.max("y").alias("high"))
+    before = F.coalesce(F.sum("k").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranged = stored(cells.withColumn("range", F.floor(before / TILE)))
+    ranges = ranged.groupBy("size", "range").agg(F.sum("k").alias("k"), F.min("low").alias("low"), F.max("high").alias("high"))
+    ranges = stored(ranges.withColumn("parts", F.ceil(F.col("k") / TILE)).drop("k"))
+    # The last range that begins within reach of a range's end: starts and ends in one order, a start before an equal end.
+    starts = ranges.select("size", F.col("low").alias("at"), F.lit(0).alias("end"), "range")
+    points = starts.unionByName(ranges.select("size", (F.col("high") + reach).alias("at"), F.lit(1).alias("end"), "range"))
+    upwards = Window.partitionBy("size").orderBy("at", "end").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    last = points.withColumn("last", F.max(F.when(F.col("end") == 0, F.col("range"))).over(upwards)).where("end = 1").select("size", "range", "last")
+    met = ranges.join(last, ["size", "range"]).select("size", "range", "parts", F.explode(F.sequence("range", "last")).alias("other"))
+    pairs = met.join(ranges.select("size", F.col("range").alias("other"), F.col("parts").alias("other_parts")), ["size", "other"])
+    tile = lambda r, k: F.shiftleft(F.col(r), 32) + F.col(k)
+    pairs = pairs.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("other_parts") - 1)))
+    pairs = pairs.select("size", tile("range", "i").alias("a"), tile("other", "j").alias("b")).where("a <= b")
+    sides = stored(pairs.select("size", F.explode(F.array_distinct(F.array("a", "b"))).alias("tile"), "a", "b"))
+    part = F.pmod(F.xxhash64("h", "g"), F.col("parts"))
+    own = celled.join(ranged.select("size", "cell", "range").join(ranges.select("size", "range", "parts"), ["size", "range"]), ["size", "cell"])
+    return own.select("h", "g", "rep", "n", "x", "size", (F.shiftleft("range", 32) + part).alias("tile")).join(sides, ["size", "tile"])
 
 
 def _compare(key: tuple, frame: pd.DataFrame, axes: dict[int, np.ndarray], threshold: float) -> pd.DataFrame:
