@@ -3,12 +3,13 @@
 A multinomial logistic regression over hashed word 1- to 3-grams tells licence families from an unknown class. It is
 trained on seeded variants of the templates and on a bounded sample of the corpus as unknown text. Held-out
 examples calibrate it: a temperature makes its probabilities honest, and the least probability accepted keeps the held-out unknown
-paragraphs out. Pieces of lines, and pieces over the ends of adjacent lines with words, are judged. A predicted piece counts
+paragraphs out. Pieces of lines, and pieces over the ends of adjacent lines with words, are judged, in two sizes. A predicted piece counts
 only if a template is mostly in or around it, word run by word run; all such notices count, each on words of its own.
 """
 
 from __future__ import annotations
 
+import itertools
 import random
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -33,10 +34,13 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "This project is licensed under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
         "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.",
         "SPDX-License-Identifier: MIT",
     ),
     "bsd": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES",
         "Licensed under the BSD 3-Clause License.",
         "Released under the BSD 2-Clause License.",
         "SPDX-License-Identifier: BSD-3-Clause",
@@ -49,6 +53,32 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     ),
     "lgpl": ("Licensed under the GNU Lesser General Public License, version 2.1.", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License", "SPDX-License-Identifier: LGPL-2.1-only"),
     "mpl-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "Licensed under the Mozilla Public License 2.0.", "SPDX-License-Identifier: MPL-2.0"),
+    "agpl": (
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation",
+        "You should have received a copy of the GNU Affero General Public License along with this program.",
+        "SPDX-License-Identifier: AGPL-3.0-or-later",
+    ),
+    "isc": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+        "Released under the ISC License.",
+        "SPDX-License-Identifier: ISC",
+    ),
+    "zlib": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.",
+        "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely",
+        "Licensed under the zlib License.",
+        "SPDX-License-Identifier: Zlib",
+    ),
+    "epl": ("This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0", "Licensed under the Eclipse Public License, version 2.0.", "SPDX-License-Identifier: EPL-2.0"),
+    "unlicense": (
+        "This is free and unencumbered software released into the public domain.",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+        "SPDX-License-Identifier: Unlicense",
+    ),
+    "bsl-1.0": ("Distributed under the Boost Software License, Version 1.0.", "Licensed under the Boost Software License 1.0.", "SPDX-License-Identifier: BSL-1.0"),
+    "cc-by-nd": ("Licensed under CC BY-ND 4.0.", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    "cc-by-nc-sa": ("Licensed under CC BY-NC-SA 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."),
     "cc-by-nc": ("Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     "cc-by": ("Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     "cc-by-sa": ("Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
@@ -66,11 +96,12 @@ _WORDS = bytes(c + 0x20 if 0x41 <= c <= 0x5A else c if c == 0x0A or 0x30 <= c <=
 
 @dataclass(frozen=True)
 class Scan:
-    """Paragraphs of the corpus that training sees at most; hashed features; words in a piece; template share confirming."""
+    """Paragraphs of the corpus that training sees at most; hashed features; words in a piece, and in a short one; template share confirming."""
 
     unknown_sample: int = 4_000
     features: int = 1 << 16
     piece: int = 40
+    short: int = 10
     confirmed_at: float = 0.7
     false_alarms: float = 0.001
     seed: int = 7
@@ -148,8 +179,9 @@ def variants(scan: Scan, unknown: list[str], each: int = 60) -> tuple[list[str],
                 labels.append(family)
     for text in (*unknown, *NEAR_MISSES * 20):
         words = text.split()
-        at = rnd.randrange(max(1, len(words) - scan.piece + 1))
-        texts.append(" ".join(words[at : at + scan.piece]))
+        size = rnd.choice((scan.piece, scan.short))
+        at = rnd.randrange(max(1, len(words) - size + 1))
+        texts.append(" ".join(words[at : at + size]))
         labels.append("")
     return texts, labels
 
@@ -316,10 +348,11 @@ def _scanned(ids: pa.Array, texts: list[bytes], model: Model, scan: Scan) -> pa.
     spans: list[list[tuple[int, int, str]]] = [[] for _ in texts]  # (first line, last line, family) of confirmed notices
     line_of = lambda word: int(np.searchsorted(offsets, word, side="right")) - 1
     lines = np.stack((offsets[:-1], offsets[1:]), axis=1)
-    for units in (lines, _blocks(offsets, first_line)):
+    # Short pieces find short notices, which a long one's other words would outvote.
+    for units, size in itertools.product((lines, _blocks(offsets, first_line)), (scan.piece, scan.short)):
         sizes = np.diff(units, axis=1)[:, 0]
         upto = np.concatenate(([0], np.cumsum(sizes)))
-        w, o, of, starts = _pieces(words if units is lines else words[np.repeat(units[:, 0] - upto[:-1], sizes) + np.arange(upto[-1])], upto, scan.piece)
+        w, o, of, starts = _pieces(words if units is lines else words[np.repeat(units[:, 0] - upto[:-1], sizes) + np.arange(upto[-1])], upto, size)
         hopeful = model.hopeful(w, o)
         lengths = np.diff(o)[hopeful]
         ends = np.cumsum(lengths)
@@ -330,12 +363,13 @@ def _scanned(ids: pa.Array, texts: list[bytes], model: Model, scan: Scan) -> pa.
             end = at + int(lengths[k])
             if units is not lines and line_of(at) == line_of(end - 1):
                 continue  # judged as a piece of its line
-            # Notices may begin before the piece or end after it.
-            low, high = max(int(start), at - scan.piece), min(int(stop), end + scan.piece)
+            # Notices may begin before the piece or end after it; the longest, with words put in, fits beside it.
+            low, high = max(int(start), at - 3 * scan.piece // 2), min(int(stop), end + 3 * scan.piece // 2)
             one, two = line_of(low), line_of(high - 1)
             near = b" ".join(x.translate(_WORDS) for x in raw[one : two + 1]).split()[low - offsets[one] : high - offsets[one]]
             d = int(np.searchsorted(first_line, one, side="right")) - 1
-            sure = notices(near, scan.confirmed_at)
+            # What lies apart from the piece may be cut, and has pieces of its own.
+            sure = [x for x in notices(near, scan.confirmed_at) if low + x[2] < end and low + x[3] > at]
             for family, share, i, j in sure:
                 line, last = line_of(low + i) - int(first_line[d]), line_of(low + j - 1) - int(first_line[d])
                 entry = {"line_no": line, "family": family, "probability": float(p[k, model.families.index(family)]), "template_share": share, "confirmed": True}
