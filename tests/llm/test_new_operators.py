@@ -16,6 +16,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.test_operators import corpus, got, prose, table
+from tripstrata.llm import op2_license_scan as licences
 from tripstrata.llm import op3_suffix_dedup as suffixes
 from tripstrata.llm import op6_pseudonyms as pseudonyms
 from tripstrata.llm import op8_mixing as mixing
@@ -350,3 +351,38 @@ def test_vectors_of_many_lengths_and_links_at_the_threshold(spark):
     near_edge = {10_000, 10_001, 10_002}
     assert {i: out[i].n_links for i in unit if i not in near_edge} == {i: links[i] for i in unit if i not in near_edge}
     assert out[10_002].n_links >= 1 and out[10_000].n_links >= 1
+
+
+# ---- 2: licences, against every window of every line ----------------------------------------------------------------------
+
+
+def test_each_template_is_found_and_nothing_else_confirmed(spark):
+    rnd = random.Random(6)
+    split = lambda text: re.sub(r"[^0-9a-z\x80-\U0010ffff]", " ", text.lower()).split()
+    triples = lambda words: {tuple(words[i : i + 3]) for i in range(max(1, len(words) - 2))}
+    plain = prose(25, 400, (10, 60))
+    rows, planted = [(i, t) for i, t in enumerate(plain[:100])], {}
+    for family, templates in licences.TEMPLATES.items():
+        for template in templates:
+            for text in (template, f"{plain[rnd.randrange(100, 400)]} {template} {plain[rnd.randrange(100, 400)]}"):
+                planted[len(rows)] = family
+                rows.append((len(rows), f"{plain[rnd.randrange(100, 400)]}\n{text}"))
+            part = template.split()  # most of it, or too little of it
+            at = rnd.randrange(len(part))
+            rows.append((len(rows), " ".join(part[:at] + part[at + rnd.randint(1, 5) :]) or "nothing"))
+    planted[len(rows)] = "zlib"
+    rows.append((len(rows), "word " * 50_000 + licences.TEMPLATES["zlib"][1] + " word" * 50_000))
+    out = {r["doc_id"]: set(r["families"]) for r in licences.scan_licenses(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    for i, text in rows:
+        could = set()
+        words = split(text)
+        here = triples(words)
+        for family, templates in licences.TEMPLATES.items():
+            for runs in (triples(split(t)) for t in templates):
+                width = len(runs) + 2 + len(runs) // 2
+                if not here.isdisjoint(runs):
+                    could |= {family for at in range(max(1, len(words) - 2)) if tuple(words[at : at + 3]) in runs and len(runs & triples(words[at : at + width])) >= 0.7 * len(runs)}
+        assert out[i] <= could, (text[:200], out[i], could)
+    missed = [(planted[i], dict(rows)[i][-200:]) for i in planted if planted[i] not in out[i]]
+    assert not missed, missed
+    assert not any(out[i] for i in range(100))
