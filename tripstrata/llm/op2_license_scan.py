@@ -235,6 +235,20 @@ def _runs(words: list[bytes]) -> set[tuple[bytes, ...]]:
 _TEMPLATE_RUNS = {f: [_runs(t.encode().translate(_WORDS).split()) for t in ts] for f, ts in TEMPLATES.items()}
 
 
+def _triples(words: np.ndarray) -> np.ndarray:
+    """Hashes of all runs of three words."""
+    pairs = mixed(words[: max(0, len(words) - 1)] * _BASE + words[1:])
+    return mixed(pairs[: max(0, len(pairs) - 1)] * _BASE + words[2:])
+
+
+_TEMPLATE_TRIPLES = np.unique(np.concatenate([_triples(_hashed([t])[0]) for ts in TEMPLATES.values() for t in ts]))
+
+
+def _marks(words: np.ndarray) -> np.ndarray:
+    """Number of template word runs that start before each word."""
+    return np.concatenate(([0], np.cumsum(np.isin(_triples(words), _TEMPLATE_TRIPLES))))
+
+
 def template_share(family: str, text: bytes) -> float:
     """Largest share of a template's word runs that the text holds."""
     here = _runs(text.translate(_WORDS).split())
@@ -305,7 +319,7 @@ def scan_licenses(docs: DataFrame, scan: Scan = Scan(), id_col: str = "doc_id",
     """Licences stated in each row's text: doc_id, n_paragraphs, n_confirmed, n_unconfirmed, families, paragraphs.
 
     A paragraph is a line with a word; long ones are judged in overlapping pieces, and so are runs of adjacent lines, over whose ends
-    notices may go on. `families` are the confirmed ones, sorted; `paragraphs` holds (line_no, family, probability, template_share,
+    notices may go on; short pieces, for short notices, are judged where they have a word run of a template. `families` are the confirmed ones, sorted; `paragraphs` holds (line_no, family, probability, template_share,
     confirmed) of all predicted lines, once for each family: of a notice over several lines, the first. A null or empty text has none. Null
     or repeated ids keep their rows; other columns are not read. Training reads at most `unknown_sample` paragraphs, those with the
     smallest seeded hashes, of a long one 2,000 characters at a drawn place; every paragraph is then scanned, in one pass without a shuffle.
@@ -348,8 +362,14 @@ def _scanned(ids: pa.Array, texts: list[bytes], model: Model, scan: Scan) -> pa.
     spans: list[list[tuple[int, int, str]]] = [[] for _ in texts]  # (first line, last line, family) of confirmed notices
     line_of = lambda word: int(np.searchsorted(offsets, word, side="right")) - 1
     lines = np.stack((offsets[:-1], offsets[1:]), axis=1)
-    # Short pieces find short notices, which a long one's other words would outvote.
-    for units, size in itertools.product((lines, _blocks(offsets, first_line)), (scan.piece, scan.short)):
+    blocks, marks = _blocks(offsets, first_line), _marks(words)
+    # Short pieces find short notices, which a long one's other words would outvote. They are made only where a template
+    # has a word run in common, without which it can't confirm them.
+    for across, size in itertools.product((False, True), (scan.piece, scan.short)):
+        units = blocks if across else lines
+        if size == scan.short:
+            upto = np.minimum(np.maximum(units[:, 1] - 2, units[:, 0]), len(marks) - 1)
+            units = units[marks[upto] > marks[np.minimum(units[:, 0], len(marks) - 1)]]
         sizes = np.diff(units, axis=1)[:, 0]
         upto = np.concatenate(([0], np.cumsum(sizes)))
         w, o, of, starts = _pieces(words if units is lines else words[np.repeat(units[:, 0] - upto[:-1], sizes) + np.arange(upto[-1])], upto, size)
@@ -361,7 +381,7 @@ def _scanned(ids: pa.Array, texts: list[bytes], model: Model, scan: Scan) -> pa.
             start, stop = units[of[hopeful[k]]]
             at = int(starts[hopeful[k]] - upto[of[hopeful[k]]] + start)
             end = at + int(lengths[k])
-            if units is not lines and line_of(at) == line_of(end - 1):
+            if across and line_of(at) == line_of(end - 1):
                 continue  # judged as a piece of its line
             # Notices may begin before the piece or end after it; the longest, with words put in, fits beside it.
             low, high = max(int(start), at - 3 * scan.piece // 2), min(int(stop), end + 3 * scan.piece // 2)
@@ -380,7 +400,7 @@ def _scanned(ids: pa.Array, texts: list[bytes], model: Model, scan: Scan) -> pa.
             best = int(p[k, :-1].argmax())
             family, covered = model.families[best], range(line_of(at) - int(first_line[d]), line_of(end - 1) - int(first_line[d]) + 1)
             old = [found[d][x, family] for x in covered if (x, family) in found[d]]
-            if not sure and (not old or (units is lines and not old[0]["confirmed"] and old[0]["probability"] < p[k, best])):
+            if not sure and (not old or (not across and not old[0]["confirmed"] and old[0]["probability"] < p[k, best])):
                 found[d][covered[0], family] = {"line_no": covered[0], "family": family, "probability": float(p[k, best]), "template_share": template_share(family, b" ".join(near)), "confirmed": False}
     for d, confirmed in enumerate(spans):
         found[d] = {x: e for x, e in found[d].items() if e["confirmed"] or not any(a <= x[0] <= b for a, b, _ in confirmed)}
