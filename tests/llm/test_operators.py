@@ -7,6 +7,7 @@ import hashlib
 import random
 import re
 import textwrap
+import time
 
 import numpy as np
 import public_tokenizers
@@ -269,6 +270,17 @@ def test_banded_distance_and_segments():
             assert x == y or d == 0 or set(keys[owners == 0]) & set(keys[owners == 1])
 
 
+def test_distance_of_few_long_lines_takes_few_steps():
+    rnd = random.Random(3)
+    text = "".join(rnd.choices("abcdefgh ", k=100_000))
+    near = "y" + text[:70_000] + text[70_001:]
+    far = text[:50_000] + text[:50_000]
+    began = time.process_time()
+    assert lines.within([text, near, far], [near, text, text], np.full(3, 2)).tolist() == [True, True, False]
+    assert lines.within([text], [near], np.full(1, 1)).tolist() == [False]
+    assert time.process_time() - began < 3
+
+
 @pytest.mark.parametrize("edits", [lines.Edits(), lines.Edits(short=2, block=3)])
 def test_line_dedup(spark, edits):
     rnd = random.Random(4)

@@ -4,7 +4,7 @@ A line of length L may differ from a longer or equally long one by e = min(max_e
 is split into e + 1 segments, one of which the other line must hold unchanged, near the same place. Keys are hashes of
 (length, segment number, segment): each line gives those of its own segments, and for every length that a partner no
 longer than itself may have, those of its substrings that could be such a segment; shifts that the edits left or right
-of it can't explain are left out. Lines that share a key are candidates; a banded bit-parallel edit distance decides.
+of it can't explain are left out. Lines that share a key are candidates; their edit distance along few diagonals decides.
 Linked lines form classes, and of each class the first line in the corpus stays.
 """
 
@@ -83,17 +83,18 @@ def segment_keys(lines: list[str], edits: Edits) -> tuple[np.ndarray, np.ndarray
 
 
 def within(a: list[str], b: list[str], most: np.ndarray) -> np.ndarray:
-    """Whether each pair's edit distance is at most `most` (under 32).
+    """Whether each pair's edit distance is at most `most`.
 
-    Hyyro's banded form of Myers' bit vectors, for many pairs in step: a column of the band is one word, bit 63 is the
-    diagonal that ends in the last row, and the score follows that diagonal, then the last row.
+    Ukkonen's furthest rows by edits and diagonal, for many pairs in step. An array operation takes a whole diagonal, so
+    their number depends on the edits alone: neither a long line nor a batch of few pairs costs a step for each character.
     """
     out = np.zeros(len(a), bool)
     swap = [(x, y) if len(x) <= len(y) else (y, x) for x, y in zip(a, b, strict=True)]  # rows: shorter, columns: longer
     order = np.array(sorted(range(len(a)), key=lambda k: len(swap[k][1])), np.int64)
+    diagonals = 2 * int(most.max(initial=0)) + 1
     while len(order):
         top = len(swap[order[min(len(order), 20_000) - 1]][1]) + 1
-        take = max(1, min(len(order), 20_000, 6_000_000 // top))
+        take = max(1, min(len(order), 20_000, 6_000_000 // (top * diagonals)))
         now, order = order[:take], order[take:]
         out[now] = _within([swap[k][0] for k in now], [swap[k][1] for k in now], most[now])
     return out
@@ -110,29 +111,26 @@ def _matrix(lines: list[str], lengths: np.ndarray, before: int, width: int, blan
 def _within(rows: list[str], columns: list[str], most: np.ndarray) -> np.ndarray:
     k = int(most.max(initial=0))
     m, n = np.array([len(x) for x in rows]), np.array([len(x) for x in columns])
-    width = 2 * k + 1
-    # Band bit 63 - w of column j stands for row j + k - w, w = 0 .. 2k; rows outside the line match nothing.
-    r = np.ascontiguousarray(_matrix(rows, m, k, int(n.max(initial=0)) + 2 * k + 2, 0xFFFFFFFF).T)
-    c = np.ascontiguousarray(_matrix(columns, n, 0, int(n.max(initial=0)), 0xFFFFFFFE).T)
-    vp = np.full(len(rows), np.uint64((~0 << (64 - k - 1)) & ((1 << 64) - 1)))
-    vn = np.zeros(len(rows), np.uint64)
-    score = np.minimum(m, k)
-    one = np.uint64(1)
-    for j in range(len(c)):
-        x = np.zeros(len(rows), np.uint64)
-        for w in range(width):
-            x |= (r[j + width - 1 - w] == c[j]).astype(np.uint64) << np.uint64(63 - w)
-        d = (((x & vp) + vp) ^ vp) | x | vn
-        hp, hn = vn | ~(d | vp), d & vp
-        live = j < n
-        diagonal = live & (j < m - k)
-        score += diagonal & (d >> np.uint64(63) == 0)
-        last = live & ~diagonal  # the last row sinks one bit with each column
-        bit = np.clip(62 - (j - m + k), 0, 63).astype(np.uint64)
-        score += last & ((hp >> bit) & one == 1)
-        score -= last & ((hn >> bit) & one == 1)
-        vp, vn = hn | ~((d >> one) | hp), (d >> one) & hp
-    return (score <= most) & (n - m <= most)
+    width = int(max(m.max(initial=0) + 1, n.max(initial=0)))
+    # The blanks of the two differ, so that every diagonal has a mismatch at row m at the latest.
+    r = _matrix(rows, m, 0, width, 0xFFFFFFFF)
+    c = _matrix(columns, n, k, width + 2 * k, 0xFFFFFFFE)
+    unequal = [np.flatnonzero(r != c[:, k + d : k + d + width]) for d in range(-k, k + 1)]
+    begins = np.arange(len(rows)) * width
+    # far[k + 1 + d]: the furthest row of diagonal d (column less row) that so many edits reach.
+    far = np.full((2 * k + 3, len(rows)), -1)
+    edits = np.full(len(rows), k + 1)
+    last = np.minimum(n - m, k) + k + 1
+    for e in range(k + 1):
+        reached = np.full_like(far, -1)
+        for d in range(-e, e + 1):
+            at = k + 1 + d
+            row = np.minimum(np.maximum(np.maximum(far[at], far[at + 1]) + 1, far[at - 1]), m)
+            bad = unequal[k + d]
+            reached[at] = bad[np.searchsorted(bad, begins + row)] - begins
+        far = reached
+        edits[(far[last, np.arange(len(rows))] == m) & (edits > e)] = e
+    return (edits <= most) & (n - m <= most)
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -253,9 +251,10 @@ def _gone(docs: DataFrame, edits: Edits, id_col: str, text_col: str) -> DataFram
     roots = components(line_links(lines, edits))
     places = stored(lines.select("doc_id", "doc_chars", "line_no", "id", F.length("line").alias("chars")))
     first = places.groupBy("id").agg(F.min(F.struct("doc_id", "line_no", "doc_chars")).alias("first"), F.count("*").alias("times"))
-    classed = first.join(roots.withColumnRenamed("node", "id"), "id", "left")
-    alone = classed.where("component IS NULL AND times > 1").select("id", F.col("first").alias("own"), F.col("first").alias("stays"))
-    shared = stored(classed.where("component IS NOT NULL"))
+    # Most lines are alone and occur once. The others are stored, so that the places are put together by line once.
+    classed = stored(first.join(roots.withColumnRenamed("node", "id"), "id", "left").where("component IS NOT NULL OR times > 1"))
+    alone = classed.where("component IS NULL").select("id", F.col("first").alias("own"), F.col("first").alias("stays"))
+    shared = classed.where("component IS NOT NULL")
     of_class = shared.groupBy("component").agg(F.min("first").alias("stays"))
     keepers = alone.unionByName(shared.join(of_class, "component").select("id", F.col("first").alias("own"), "stays"))
     gone = places.join(keepers, "id").where("struct(doc_id, line_no) <> struct(stays.doc_id, stays.line_no)")
