@@ -9,9 +9,12 @@ import math
 import random
 import re
 import time
+import tracemalloc
+import types
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -217,6 +220,32 @@ def test_filter_levels():
     assert (known.levels(other, np.zeros(len(other), np.int64)) > 0).mean() < 0.02
 
 
+@pytest.mark.parametrize("work", [lm._pair_counts(40), lambda batches: lm._chunk_words(batches, 8_000_000)])
+def test_memory_of_a_large_batch(work, monkeypatch):
+    """A worker holds few of a batch's rows as Python objects, few bytes hashed, and pairs without copies of them."""
+    rnd = random.Random(2)
+    words = [f"w{rnd.randrange(10**6)}" for _ in range(200_000)]
+    texts = [" ".join(words[a : a + 400]) for a in (rnd.randrange(199_600) for _ in range(10_000))]
+    batch = pa.record_batch([pa.array(range(10_000), pa.int64()), pa.array([x.encode() for x in texts], pa.binary())], names=["doc_id", "text"])
+    monkeypatch.setattr(lm, "TaskContext", types.SimpleNamespace(get=lambda: types.SimpleNamespace(partitionId=lambda: 0)))
+    tracemalloc.start()
+    try:
+        assert sum(x.num_rows for x in work(iter([batch])))
+        assert tracemalloc.get_traced_memory()[1] < 95_000_000
+    finally:
+        tracemalloc.stop()
+
+
+def test_filter_is_read_in_place():
+    pairs = [np.arange(1, 4000, dtype=np.uint64) * np.uint64(2**33 + 1), np.arange(1, 9000, dtype=np.uint64) * np.uint64(2**35 + 7)]
+    bits = [lm.filter_bits(p, np.ones(len(p), np.uint64)) for p in pairs]
+    joined = bytearray(b"".join(bits))
+    known = lm.Filter([joined], [len(x) for x in bits])
+    assert np.shares_memory(known.bits, np.frombuffer(joined, np.uint8))
+    for shard, own in enumerate(pairs):
+        assert (known.levels(own, np.full(len(own), shard)) >= 1).all()
+
+
 def test_known_passages_score_higher(spark):
     texts = prose(8, 60, (30, 60))
     learned = [(i, t, "s") for i, t in enumerate(texts)]

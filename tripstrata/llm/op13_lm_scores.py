@@ -36,8 +36,11 @@ from pyspark.sql import functions as F
 
 from tripstrata.llm.shared import mixed, slices, stored, word_hashes
 
-#: Texts of about so many bytes ask for their words' counts together; so many are hashed at once.
-CHUNK_BYTES, SLICE_BYTES = 8_000_000, 2_000_000
+#: Texts of about so many bytes ask for their words' counts together; so many are hashed at once, which takes some 40 times
+#: their size.
+CHUNK_BYTES, SLICE_BYTES = 8_000_000, 500_000
+#: Rows of a batch that are Python objects at a time; bytes of counts that go out at a time.
+ROWS, SENT_BYTES = 200, 4_000_000
 #: Training tokens per shard of the filter; bits per entry and probes per key.
 SHARD_TOKENS, BITS, PROBES = 1 << 21, 10, 7
 #: The filter is broadcast up to this size.
@@ -108,12 +111,12 @@ def filter_bits(pairs: np.ndarray, counts: np.ndarray, bits_per_entry: int = BIT
 
 
 class Filter:
-    """Shards side by side in one array of bytes."""
+    """Shards side by side in one array of bytes. Shards that are joined already, `lengths` their bytes, are not copied."""
 
-    def __init__(self, shards: list[bytes]):
-        self.sizes = np.array([8 * len(x) for x in shards], np.uint64)
+    def __init__(self, shards: list[bytes], lengths: list[int] | None = None):
+        self.sizes = 8 * np.array([len(x) for x in shards] if lengths is None else lengths, np.uint64)
         self.starts = np.concatenate(([0], np.cumsum(self.sizes)))[:-1].astype(np.uint64)
-        self.bits = np.frombuffer(b"".join(shards), np.uint8)
+        self.bits = np.frombuffer(shards[0] if len(shards) == 1 else b"".join(shards), np.uint8)
 
     def levels(self, pairs: np.ndarray, shard: np.ndarray) -> np.ndarray:
         """The level under which each pair is found, 0 for none."""
@@ -157,28 +160,49 @@ def _batch(schema: str, rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, kinds[kind]) for c, (_, kind) in zip(columns, fields, strict=True)], names=[k for k, _ in fields])
 
 
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, bytes]]:
+    """(id, text) of every row, a null text empty. Only few rows of a batch are copied at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            part = batch.slice(at, ROWS)
+            for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                yield doc_id, text or b""
+
+
+def _counted(held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct numbers and how often each occurs. `held` is emptied, and the numbers are sorted in place."""
+    every = np.concatenate([np.empty(0, np.uint64), *held])
+    held.clear()
+    every.sort()
+    first = np.flatnonzero(np.concatenate(([True], every[1:] != every[:-1]))[: len(every)])
+    return every[first], np.diff(np.append(first, len(every)))
+
+
 def _pair_counts(shards: int):
     """Counts of the training texts' word pairs, summed over some millions of tokens before they are sent."""
 
+    def sent(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        pairs, counts = _counted(held)
+        rows, size = [], 0
+        for s, lo, hi in _by_shard(pairs, shards):
+            rows.append((s, _packed(pairs[lo:hi]), _packed(counts[lo:hi])))
+            size += 16 * (hi - lo)
+            if size >= SENT_BYTES:
+                yield _batch(_COUNTS, rows)
+                rows, size = [], 0
+        if rows:
+            yield _batch(_COUNTS, rows)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
-
-        def sent() -> pa.RecordBatch:
-            pairs, counts = np.unique(np.concatenate(held), return_counts=True)
-            rows = [(s, _packed(pairs[lo:hi]), _packed(counts[lo:hi])) for s, lo, hi in _by_shard(pairs, shards)]
-            return _batch(_COUNTS, rows)
-
-        for batch in batches:
-            texts = [t or b"" for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if not held_out(i)]
-            for lo, hi in slices(texts, SLICE_BYTES):
-                found, _ = tokens(texts[lo:hi])
-                held.append(pair_hashes(found)[found[:-1] != END])
-                size += len(found)
-                if size >= 2 * SHARD_TOKENS:
-                    yield sent()
-                    held, size = [], 0
-        if held:
-            yield sent()
+        for _, ids, texts in _chunks(batches, SLICE_BYTES):
+            found, _ = tokens([t for i, t in zip(ids, texts, strict=True) if not held_out(i)])
+            held.append(pair_hashes(found)[found[:-1] != END])
+            size += len(found)
+            if size >= 2 * SHARD_TOKENS:
+                yield from sent(held)
+                size = 0
+        yield from sent(held)
 
     return run
 
@@ -198,15 +222,13 @@ def _shard_filter(key: tuple, parts: pa.Table, bits: int) -> pa.Table:
 def _chunks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[int, list, list[bytes]]]:
     """(chunk, ids, texts) of a partition's rows, about `most` bytes of text each; whole texts, one at least."""
     first, k, ids, texts, size = TaskContext.get().partitionId() << 32, 0, [], [], 0
-    for batch in batches:
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            text = text or b""
-            if ids and size + len(text) > most:
-                yield first + k, ids, texts
-                k, ids, texts, size = k + 1, [], [], 0
-            ids.append(doc_id)
-            texts.append(text)
-            size += len(text) + 8
+    for doc_id, text in _rows(batches):
+        if ids and size + len(text) > most:
+            yield first + k, ids, texts
+            k, ids, texts, size = k + 1, [], [], 0
+        ids.append(doc_id)
+        texts.append(text)
+        size += len(text) + 8
     if ids:
         yield first + k, ids, texts
 
@@ -260,7 +282,7 @@ _SCORES = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, tra
 
 
 def _scorer(total: int, distinct: int, known: object, shards: int):
-    """Scores of a chunk's texts. `known`: the broadcast filter's shards, or None where answers come with the words."""
+    """Scores of a chunk's texts. `known`: the broadcast filter, or None where answers come with the words."""
 
     def run(texts: pa.Table, told: pa.Table) -> pa.Table:
         asked = np.array([x is not None for x in told["pairs"].to_pylist()], bool)
@@ -289,7 +311,7 @@ def _scorer(total: int, distinct: int, known: object, shards: int):
             if known is None:
                 level = answer[np.searchsorted(pairs, hashed)]
             else:
-                level = _loaded(known).levels(hashed, shard_of(hashed, shards)) if shards else np.zeros(len(hashed), np.int64)
+                level = Filter(*known.value).levels(hashed, shard_of(hashed, shards)) if shards else np.zeros(len(hashed), np.int64)
             before = count[after - 1].astype(float)
             share = np.zeros(len(found))
             share[after] = np.minimum(MEAN_COUNT[level], before) / np.maximum(before, 1)
@@ -311,15 +333,16 @@ def _scorer(total: int, distinct: int, known: object, shards: int):
     return run
 
 
-_FILTERS: dict[int, Filter] = {}
-
-
-def _loaded(known: object) -> Filter:
-    """The broadcast filter of this worker, built once."""
-    if id(known) not in _FILTERS:
-        _FILTERS.clear()
-        _FILTERS[id(known)] = Filter(known.value)
-    return _FILTERS[id(known)]
+def _joined(filters: DataFrame, shards: int) -> tuple[list[bytearray], list[int]]:
+    """The filter for a broadcast: one copy of its shards, which the workers read in place, and their lengths."""
+    lengths = [8] * shards
+    for r in filters.select("shard", F.octet_length("bits").alias("n")).toLocalIterator():
+        lengths[r["shard"]] = r["n"]
+    starts = np.concatenate(([0], np.cumsum(lengths))).astype(np.int64).tolist()
+    joined = bytearray(starts[-1])
+    for r in filters.toLocalIterator():
+        joined[starts[r["shard"]] : starts[r["shard"] + 1]] = r["bits"]
+    return [joined], lengths
 
 
 def lm_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", filter_bytes: int = FILTER_BYTES, chunk_bytes: int = CHUNK_BYTES, shard_tokens: int = SHARD_TOKENS, bits: int = BITS) -> DataFrame:
@@ -342,8 +365,7 @@ def lm_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", filte
     filters = stored(counts.groupBy("shard").applyInArrow(lambda key, parts: _shard_filter(key, parts, bits), "shard bigint, bits binary"))
     told = words.select("chunk", "word", "total", F.lit(None).cast("binary").alias("pairs"), F.lit(None).cast("binary").alias("levels"))
     if filters.agg(F.coalesce(F.sum(F.octet_length("bits")), F.lit(0))).first()[0] <= filter_bytes:
-        by_shard = {r["shard"]: bytes(r["bits"]) for r in filters.toLocalIterator()}
-        known = spark.sparkContext.broadcast([by_shard.get(s, bytes(8)) for s in range(shards)])
+        known = spark.sparkContext.broadcast(_joined(filters, shards))
     else:
         known = None
         asked = read.mapInArrow(_chunk_pairs(shards, chunk_bytes), _ASKED)
