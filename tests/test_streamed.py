@@ -6,6 +6,7 @@ import glob
 import os
 from datetime import datetime
 
+import pyarrow.parquet as pq
 from tests.trips import raw_file, zone_csv
 
 from tripstrata.plans import queries
@@ -43,7 +44,7 @@ def test_streamed_files_come_one_a_batch_and_end_in_the_archive(spark, tmp_path)
 
 
 def test_handled_files_are_archived_and_later_ones_wait(spark, tmp_path):
-    """The second call moves its own file; odd characters in paths; a file moved before is no error."""
+    """The second call moves its own file; odd characters in paths; a file dropped again under a handled path stays."""
     incoming = tmp_path / "incoming" / "a b%20c+"
     layers = Layers(str(tmp_path / "layers"))
     arguments = (str(tmp_path / "incoming"), zone_csv(tmp_path / "zones.csv"), layers, str(tmp_path / "checkpoint"), str(tmp_path / "archive"))
@@ -53,3 +54,7 @@ def test_handled_files_are_archived_and_later_ones_wait(spark, tmp_path):
         take_arrivals(spark, *arguments)
         assert os.listdir(incoming) == [] and os.path.exists(f"{tmp_path}/archive{incoming}/{name}")
     assert tables.read_silver(spark, layers).count() == 2
+    again = raw_file(incoming / name, {"total_amount": 99.0})
+    take_arrivals(spark, *arguments)
+    archived = f"{tmp_path}/archive{incoming}/{name}"
+    assert os.path.exists(again) and pq.read_table(archived)["total_amount"].to_pylist() == [15.3]
